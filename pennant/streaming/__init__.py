@@ -1,0 +1 @@
+"""Empty on purpose: every job of this workload is a batch job over files."""
