@@ -93,45 +93,47 @@ def _most(df: DataFrame, keys: list[str]) -> DataFrame:
 def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Awards from order priorities. One prize is given for all leagues together before 1998."""
     base = star(spark, sf_dir).select("entity", "period", "league", "source", "priority")
-    urgent = base.where(F.col("priority") == "1-URGENT")
-    high = base.where((F.col("priority") == "2-HIGH") & (F.col("source") == 1))
-    medium = base.where((F.col("priority") == "3-MEDIUM") & (F.col("source") == 0))
-
-    def tagged(df: DataFrame, award: str, league: Column) -> DataFrame:
-        return df.select("entity", "period", F.lit(award).alias("award"), league.alias("league"), F.lit(True).alias("winner"))
-
-    def at_least(df: DataFrame, n: int) -> DataFrame:
-        return df.groupBy("entity", "period").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= n)
-
-    return (
-        tagged(_most(urgent, ["league", "period"]), "MVP", F.col("league"))
-        .unionByName(tagged(_most(high.where("period < 1998"), ["period"]), "Cy Young Award", F.lit("ML")))
-        .unionByName(tagged(_most(high.where("period >= 1998"), ["league", "period"]), "Cy Young Award", F.col("league")))
-        .unionByName(tagged(at_least(medium, 2), "Gold Glove", F.lit(None).cast("string")))
-        .unionByName(tagged(at_least(urgent, 3), "All-Star", F.lit(None).cast("string")))
+    urgent = F.col("priority") == "1-URGENT"
+    high = (F.col("priority") == "2-HIGH") & (F.col("source") == 1)
+    medium = (F.col("priority") == "3-MEDIUM") & (F.col("source") == 0)
+    together = high & (F.col("period") < 1998)
+    prizes = base.where(urgent | high).select(
+        "entity", "period", F.when(urgent, "MVP").otherwise("Cy Young Award").alias("award"),
+        F.when(together, "ML").otherwise(F.col("league")).alias("league"),
     )
+    honours = (
+        base.where(urgent | medium)
+        .groupBy("entity", "period", F.when(urgent, "All-Star").otherwise("Gold Glove").alias("award"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= F.when(F.col("award") == "All-Star", 3).otherwise(2))
+        .select("entity", "period", "award", F.lit(None).cast("string").alias("league"))
+    )
+    best = _most(prizes, ["award", "league", "period"]).select("entity", "period", "award", "league")
+    return best.unionByName(honours).withColumn("winner", F.lit(True))
 
 
 # --- Raw inputs of the enrichment jobs ----------------------------------------------------------
 
 
+# The customer with most orders of a priority, per league and period, wins this.
+PRIZES = {
+    "1-URGENT": "Most Valuable Player", "2-HIGH": "TSN Guide MVP", "3-MEDIUM": "Rookie of the Year",
+    "4-NOT SPECIFIED": "Gold Glove",
+}
+
+
 def raw_awards(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(awards, shares, selections) as the award build reads them; one league is null."""
     base = star(spark, sf_dir)
     league = F.when(F.col("league") != "EUROPE", F.col("league"))
     names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity"), "c_name")
 
-    def prize(priority: str, award: str, since: int) -> DataFrame:
-        rows = base.where((F.col("priority") == priority) & (F.col("period") >= since))
-        return _most(rows, ["league", "period"]).join(names, "entity").select(
-            F.col("c_name").alias("entity"), F.lit(award).alias("award"), "period", league.alias("league")
-        )
-
+    award = F.create_map(*[F.lit(x) for kv in PRIZES.items() for x in kv])[F.col("priority")]
+    prizes = base.where((F.col("priority") != "5-LOW") & ((F.col("priority") != "1-URGENT") | (F.col("period") >= 1997)))
     given = (
-        prize("1-URGENT", "Most Valuable Player", 1997)
-        .unionByName(prize("2-HIGH", "TSN Guide MVP", 0))
-        .unionByName(prize("3-MEDIUM", "Rookie of the Year", 0))
-        .unionByName(prize("4-NOT SPECIFIED", "Gold Glove", 0))
+        _most(prizes, ["priority", "league", "period"])
+        .join(names, "entity")
+        .select(F.col("c_name").alias("entity"), award.alias("award"), "period", league.alias("league"))
     )
     urgent = F.col("priority") == "1-URGENT"
     shares = (

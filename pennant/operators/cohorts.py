@@ -96,12 +96,16 @@ def relative_retention(
         own = _marked_seasons(lines, period, marks).where(F.col("on_source") & F.col("kept"))
         return season_groups(own).orderBy(desc_last("total"), asc_last("name"), asc_last("entity")).select(*SEASON)
     marked = _marked_seasons(lines, period, {**marks, "on_target": (target, period)})
-    ranked_source = numbered(
-        marked.where("on_source").select("entity", "total", "first_line", "kept"),
-        [desc_last("total"), asc_last("first_line")],
+    # both rosters are numbered in one pass; between equal totals the target goes by entity first
+    sides = F.array_compact(F.array(F.when(F.col("on_source"), F.lit("source")), F.when(F.col("on_target"), F.lit("target"))))
+    members = season_groups(marked).withColumn("roster", F.explode(sides))
+    tie = F.when(F.col("roster") == "target", F.col("entity"))
+    orders = [desc_last("total"), asc_last("_tie"), asc_last("first_line")]
+    ranked = numbered(
+        members.select("roster", "kept", "entity", "name", "total", "period", "groups", "first_line", tie.alias("_tie")),
+        orders,
+        keys=["roster"],
     )
-    ranked_target = numbered(
-        season_groups(marked.where("on_target")), [desc_last("total"), asc_last("entity"), asc_last("first_line")]
-    )
-    shown = ranked_target.join(ranked_source.where("kept").select("rank"), "rank", "left_semi")
+    kept_ranks = ranked.where((F.col("roster") == "source") & F.col("kept")).select("rank")
+    shown = ranked.where(F.col("roster") == "target").join(kept_ranks, "rank", "left_semi")
     return shown.orderBy(desc_last("total"), asc_last("first_line")).select(*SEASON)

@@ -25,26 +25,26 @@ def top_ties(df: DataFrame, keys: Sequence[str], orders: Sequence[Column]) -> Da
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
-def numbered(df: DataFrame, orders: Sequence[Column], alias: str = "rank") -> DataFrame:
-    """Dense 1-based position of every row in a total order, without putting all rows in one task.
+def numbered(df: DataFrame, orders: Sequence[Column], alias: str = "rank", keys: Sequence[str] = ()) -> DataFrame:
+    """Dense 1-based position of every row in a total order, overall or per key, however large.
 
-    Rows are range-partitioned, the cut is written to the checkpoint folder, and each partition's rows
-    are numbered on their own from the count of the partitions before it. Only the list of partition
-    counts (one row per shuffle partition) meets in one task.
+    A window over all rows would put them in one task. Here rows are range-partitioned, the cut is
+    written to the checkpoint folder, and each partition's rows are numbered on their own from the
+    counts of the partitions before it. Only those counts, one row per partition, meet in one task.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = cut_lineage(df.repartitionByRange(n, *orders).withColumn("_part", F.spark_partition_id()))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(n, *[asc_last(k) for k in keys], *orders)
+    parts = cut_lineage(cut.withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        parts.groupBy("_part")
+        parts.groupBy(*keys, "_part")
         .count()
-        .select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+        .select(*keys, "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     )
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*orders))
+    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*orders))
     return (
         parts.withColumn("_local", local)
-        .join(F.broadcast(starts), "_part")
+        .join(starts, [*keys, "_part"])
         .withColumn(alias, (F.col("_start") + F.col("_local")).cast("long"))
         .drop("_part", "_local", "_start")
     )
