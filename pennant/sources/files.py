@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,8 @@ def number_lines(df: DataFrame, alias: str = "line_no") -> DataFrame:
     ``df`` must be a plain Parquet scan. The number comes from the scan's own row index, so there is
     no global sort or window. It keeps its value under pushed-down filters.
     """
-    files = sorted(df.inputFiles())
+    # the scan writes local paths with one slash, the listing with three
+    files = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
     row = F.col("_metadata.row_index") + 1
     if len(files) <= 1:
         return df.select("*", row.cast("long").alias(alias))
