@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as t
-from pennant.functions import first_item, ordered_sum
+from pennant.functions import asc_last, desc_last, ordered_sum
 from pennant.operators import active, awards, cohorts, enrich, groups, leaders, ranking, rollups, streaks, value
-from pennant.sources import Roles, as_lines, number_lines, union_lines, unpivot_slots
+from pennant.plans.reports import Field, labelled, text_lines
+from pennant.sources import as_lines, number_lines, union_lines, unpivot_slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,18 +124,15 @@ def _j4(s, d):
     return enrich.build_groups(nation, "n_nationkey", "n_name", "r_name")
 
 
-def _j8(match: str) -> Query:
-    def run(s, d):
-        rich = enrich.enrich_a(
-            t.raw_lines(s, d, 0), events=_event_lists(s, d), stints=enrich.category_list(t.raw_fielding(s, d)),
-            pitchers=t.raw_lines(s, d, 1), stats=_batting(s, d), awards=_award_lists(s, d), rule=RULE, match=match,
-        )
-        return rich.select(
-            "line_no", "player_ID", "year_ID", "stint_ID", "positions_retro", "positions_lahman", "position",
-            "AB", "H", "HR", "AVG", "OBP", "SLG", "awards",
-        )
-
-    return run
+def _j8(s, d):
+    rich = enrich.enrich_a(
+        t.raw_lines(s, d, 0), events=_event_lists(s, d), stints=enrich.category_list(t.raw_fielding(s, d)),
+        pitchers=t.raw_lines(s, d, 1), stats=_batting(s, d), awards=_award_lists(s, d), rule=RULE,
+    )
+    return rich.select(
+        "line_no", "player_ID", "year_ID", "stint_ID", "positions_retro", "positions_lahman", "position",
+        "AB", "H", "HR", "AVG", "OBP", "SLG", "awards",
+    )
 
 
 def _j9(s, d):
@@ -151,6 +149,28 @@ def _groups_dim(s, d):
     return dim.where(F.col("group_name") != "Nation_5")
 
 
+REPORT_LAYOUT = (
+    Field("#", 5, "right"), Field("name", 20, "left", "name"), Field("total", 20, "right", "total"),
+    Field("year", 4, "right", "period"), Field("groups", 256, "left", "groups"),
+)
+
+
+def _text_report(s, d):
+    best = leaders.period_leaders(t.lines(s, d), 100)
+    return text_lines(labelled(best, REPORT_LAYOUT), "Best seasons", REPORT_LAYOUT)
+
+
+def _ranked_seasons(s, d):
+    """Place of every season among all seasons."""
+    book = rollups.season_groups(rollups.seasons(t.lines(s, d))).select("entity", "period", "total", "first_line")
+    return ranking.numbered(book, [desc_last("total"), asc_last("first_line")]).drop("first_line")
+
+
+def _top_three(s, d):
+    book = rollups.season_groups(rollups.seasons(t.lines(s, d))).select("entity", "period", "total", "first_line")
+    return ranking.top_per_group(book, ["period"], [desc_last("total"), asc_last("first_line")], 3).drop("first_line")
+
+
 QUERIES: dict[str, Query] = {
     "t01_career_leaders": career_seasons_best,
     "t01_career_leaders_season_filter": lambda s, d: leaders.career_leaders(
@@ -204,7 +224,9 @@ QUERIES: dict[str, Query] = {
     "t23_extreme_by_primary_category": lambda s, d: ranking.extreme_by_primary_category(t.category_lines(s, d), 3, POSITIONS),
     "t24_long_low_average": lambda s, d: ranking.long_low_average(t.lines(s, d), 5, 4_000_000),
     "t25_measure_leaders_career": lambda s, d: leaders.measure_leaders(t.category_lines(s, d, "measure2"), 50),
-    "t25_measure_leaders_line": lambda s, d: leaders.measure_leaders(t.category_lines(s, d, "measure2"), 50, level="line"),
+    "t25_measure_leaders_period": lambda s, d: leaders.measure_leaders(
+        t.category_lines(s, d, "measure2", single_lines=True), 50, level="line"
+    ),
     "t26_average_best": lambda s, d: leaders.average_measure(t.category_lines(s, d, "measure2"), 4, 50),
     "t26_average_worst": lambda s, d: leaders.average_measure(t.category_lines(s, d, "measure2"), 4, 50, worst=True),
     "t27_best_by_category": lambda s, d: ranking.extreme_average_by_category(t.category_lines(s, d, "measure2"), 2, FIELDERS),
@@ -241,8 +263,7 @@ QUERIES: dict[str, Query] = {
     "j5_category_list_stints": lambda s, d: enrich.category_list(t.raw_fielding(s, d)),
     "j6_category_list_events": _category_events,
     "j7_crosswalk": lambda s, d: enrich.build_crosswalk(t.raw_register(s, d), "key_a", "key_b"),
-    "j8_enrich_a": _j8("season"),
-    "j8_enrich_a_per_line": _j8("line"),
+    "j8_enrich_a": _j8,
     "j9_enrich_b": _j9,
     "a5_unpivot_slots": _slots,
     "a7_line_order": _line_order,
@@ -258,5 +279,8 @@ QUERIES: dict[str, Query] = {
     ),
     "d22_rates": _batting,
     "d22_rates_pitching": _pitching,
+    "e2_top_per_group": _top_three,
+    "e3_numbered": _ranked_seasons,
     "e5_islands": _islands,
+    "a10_text_report": _text_report,
 }

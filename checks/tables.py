@@ -71,16 +71,28 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_lines(
-    spark: SparkSession, sf_dir: str, measure: str = "measure", source: int | None = 0, leagues: tuple[str, ...] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    measure: str = "measure",
+    source: int | None = 0,
+    single_lines: bool = False,
 ) -> DataFrame:
-    """Lines with the category list of their (entity, period); some lists are missing."""
+    """Lines with the category list of their (entity, period); some lists are missing.
+
+    Order lines are added up to one line per (entity, period, group) stint before they meet the lists,
+    so that a hot season is a handful of rows in that join; ``single_lines`` keeps them apart.
+    """
     lists = category_list_from_events(events(spark, sf_dir)).withColumnRenamed("categories", "category")
     base = star(spark, sf_dir)
     if source is not None:
         base = base.where(F.col("source") == source)
+    if not single_lines:
+        base = base.groupBy("entity", "name", "period", "grp", "league", "source").agg(
+            F.sum(measure).alias(measure), F.sum("cost").alias("cost"), F.min("line_no").alias("line_no")
+        )
     joined = base.join(lists, ["entity", "period"], "left")
     roles = Roles("entity", "name", "period", "grp", "league", measure, "cost", "category", "line_no")
-    return as_lines(joined, roles, F.col("source"), leagues=leagues)
+    return as_lines(joined, roles, F.col("source"))
 
 
 def _most(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -21,15 +21,14 @@ def ordered_sum(
     """Sum doubles per key in ascending ``order``, so that the last bit is the same in every run.
 
     ``order`` is a unique whole number per row. Rows are folded left to right inside blocks of
-    ``block`` consecutive order values, then the block sums are folded in block order. A key whose
-    rows lie in one block gets the plain left fold. No task holds more than ``block`` values of one
-    key at once, however many rows the key has.
+    ``block`` consecutive order values, the block sums likewise inside blocks of blocks, and so on up.
+    A key whose rows lie in one block gets the plain left fold. No task ever holds more than ``block``
+    values of one key, however many rows the key has.
     """
-    blocks = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.expr(f"`{order}` div {block}").alias("_block"))
-        .agg(_left_fold(F.collect_list(F.struct(F.col(order).alias("k"), F.col(value).alias("x")))).alias("_x"))
-    )
-    return blocks.groupBy(*keys).agg(
-        _left_fold(F.collect_list(F.struct(F.col("_block").alias("k"), F.col("_x").alias("x")))).alias(alias)
-    )
+    level = df.where(F.col(value).isNotNull()).select(*keys, F.col(order).alias("_k"), F.col(value).alias("_x"))
+    pair = F.struct(F.col("_k").alias("k"), F.col("_x").alias("x"))
+    # two levels cover block^3 order values (2^48) with at most ``block`` values left for the last
+    for _ in range(2):
+        level = level.groupBy(*keys, F.expr(f"_k div {block}").alias("_b")).agg(_left_fold(F.collect_list(pair)).alias("_x"))
+        level = level.withColumnRenamed("_b", "_k")
+    return level.groupBy(*keys).agg(_left_fold(F.collect_list(pair)).alias(alias))

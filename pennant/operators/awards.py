@@ -53,8 +53,9 @@ def award_snubs_anti(
 def worst_winners(lines: DataFrame, awards: DataFrame, award: str, n: int) -> DataFrame:
     """Lowest seasons that won the award."""
     won = winners_of(awards, award).select("entity", "period").distinct()
-    kept = lines.join(won, ["entity", "period"], "left_semi")
-    return top_n(_season_shape(kept), [asc_last("total"), asc_last("entity"), asc_last("period")], n).select(
+    # seasons are unique after the roll-up, so no hot season can pile up in the join
+    kept = _season_shape(lines).join(won, ["entity", "period"], "left_semi")
+    return top_n(kept, [asc_last("total"), asc_last("entity"), asc_last("period")], n).select(
         "entity", "name", "period", "grp", "category", "total"
     )
 
@@ -121,7 +122,7 @@ def award_snubs(
     of_interest = best.select(F.col("winner").alias("entity")).distinct()
     names = (
         lines.select("entity", "name")
-        .join(of_interest, "entity", "left_semi")
+        .join(F.broadcast(of_interest), "entity", "left_semi")
         .groupBy(F.col("entity").alias("winner"))
         .agg(F.max("name").alias("winner_name"))
     )

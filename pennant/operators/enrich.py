@@ -1,8 +1,8 @@
 """Enrichment jobs: raw tables in, the tables the reports read out.
 
 Every optional input may be ``None``: its columns are then left out and its join is not planned.
-All side tables of a job are keyed by (lower-case entity, period), so the lines are moved once for all
-of the joins.
+All side tables of a job are keyed by (lower-case entity, period) and merged first, so the lines are
+moved and joined once.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.functions import joined, ratio
+from pennant.sources.checkpoints import cut_lineage
 from pennant.sources.files import crosswalk
 
 # --- Fixed values -------------------------------------------------------------------------------
@@ -121,6 +122,11 @@ def build_awards(awards: DataFrame, shares: DataFrame, selections: DataFrame) ->
     return voted.unionByName(unvoted, allowMissingColumns=True)
 
 
+def _repeated(entries: Column, field: str) -> Column:
+    """Sorted (field, ..., copies) structs as a flat list with each field repeated ``copies`` times."""
+    return F.flatten(F.transform(F.array_sort(entries), lambda e: F.array_repeat(e[field], e["copies"].cast("int"))))
+
+
 def award_lists(awards: DataFrame, selections: DataFrame) -> DataFrame:
     """(entity, period) -> comma list of everything won, in name order; repeats stay.
 
@@ -137,8 +143,10 @@ def award_lists(awards: DataFrame, selections: DataFrame) -> DataFrame:
     every = named.unionByName(selections.select("entity", "period", F.lit(SELECTION).alias("award")))
     return (
         every.where(F.col("award").isNotNull())
+        .groupBy("entity", "period", "award")
+        .agg(F.count(F.lit(1)).cast("int").alias("copies"))
         .groupBy("entity", "period")
-        .agg(joined(F.array_sort(F.collect_list("award"))).alias("awards"))
+        .agg(joined(_repeated(F.collect_list(F.struct("award", "copies")), "award")).alias("awards"))
     )
 
 
@@ -202,12 +210,7 @@ def category_list(
     )
     kept = share_filter(rows, ["entity", "period"], "games", min_share, copies="copies")
     entry = F.struct((-F.col("games")).alias("g"), F.col("code"), F.col("copies"))
-    repeated = F.flatten(
-        F.transform(
-            F.array_sort(F.collect_list(entry)), lambda e: F.array_repeat(e["code"], e["copies"].cast("int"))
-        )
-    )
-    return kept.groupBy("entity", "period").agg(joined(repeated).alias("categories"))
+    return kept.groupBy("entity", "period").agg(joined(_repeated(F.collect_list(entry), "code")).alias("categories"))
 
 
 def category_list_from_events(
@@ -274,32 +277,52 @@ def pitching_rates(totals: DataFrame) -> DataFrame:
 # --- Line enrichment ----------------------------------------------------------------------------
 
 
-def _attach(lines: DataFrame, side: DataFrame | None, period: str, on: Column | None = None) -> DataFrame:
-    """Left join a side table keyed by (``_side_key``, ``_side_period``)."""
-    if side is None:
-        return lines
-    match = (F.col("_key") == F.col("_side_key")) & (F.col(period) == F.col("_side_period"))
-    if on is not None:
-        match = match & on
-    return lines.join(side, match, "left").drop("_side_key", "_side_period")
-
-
-def _side(df: DataFrame | None, rename: Mapping[str, str] | None = None) -> DataFrame | None:
-    """Key a (entity, period, ...) table by lower-case entity."""
-    if df is None:
-        return None
+def _side(df: DataFrame, rename: Mapping[str, str] | None = None) -> DataFrame:
+    """Key an (entity, period, ...) table by lower-case entity."""
     rest = [F.col(f"`{c}`").alias((rename or {}).get(c, c)) for c in df.columns if c not in ("entity", "period")]
     return df.select(F.lower("entity").alias("_side_key"), F.col("period").alias("_side_period"), *rest)
 
 
+def _merged(sides: Sequence[DataFrame]) -> DataFrame:
+    """One table out of several that are keyed alike.
+
+    The lines then meet it in one join. It is written out first: a join of two plain exchanges is the
+    shape in which Spark splits a hot key at run time, which a chain of joins is not.
+    """
+    if len(sides) == 1:
+        return cut_lineage(sides[0])
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    values = [c for c in stacked.columns if c not in ("_side_key", "_side_period")]
+    return cut_lineage(
+        stacked.groupBy("_side_key", "_side_period").agg(*[F.max(f"`{c}`").alias(c) for c in values])
+    )
+
+
+def _attach(lines: DataFrame, sides: Sequence[DataFrame], keys: LineKeys, first_stint: Sequence[str] = ()) -> DataFrame:
+    """Left join side tables by (lower-case entity, period); ``first_stint`` columns stay on stint 1 only."""
+    if not sides:
+        return lines
+    side = _merged(sides)
+    match = (F.lower(keys.entity) == F.col("_side_key")) & (F.col(keys.period) == F.col("_side_period"))
+    on_first = F.col(keys.stint) == 1
+    return (
+        lines.join(side, match, "left")
+        .withColumns({c: F.when(on_first, F.col(f"`{c}`")) for c in first_stint})
+        .drop("_side_key", "_side_period")
+    )
+
+
 def _starter(games: Column, starts: Column) -> Column:
     return F.when(starts > games - starts, F.lit("SP")).otherwise(F.lit("RP"))
 
 
 def attach_awards(lines: DataFrame, lists: DataFrame, keys: LineKeys = LineKeys()) -> DataFrame:
     """Add the award list of the season to its first stint."""
-    keyed = lines.withColumn("_key", F.lower(keys.entity))
-    return _attach(keyed, _side(lists), keys.period, F.col(keys.stint) == 1).drop("_key")
+    return _attach(lines, [_side(lists)], keys, ["awards"])
+
+
+def _values(*sides: DataFrame | None) -> list[str]:
+    return [c for s in sides if s is not None for c in s.columns if c not in ("entity", "period")]
 
 
 def enrich_a(
@@ -312,45 +335,36 @@ def enrich_a(
     stats: DataFrame | None = None,
     awards: DataFrame | None = None,
     rule: PitcherRule = PitcherRule(),
-    match: str = "season",
 ) -> DataFrame:
     """Batting lines with position, counting stats, rates and awards.
 
     ``events`` and ``stints`` are category lists, ``stats`` season sums with rates, ``awards`` award
-    lists; stats and awards go to the first stint. ``pitchers`` are raw pitching lines: with
-    ``match="season"`` they are added up per season first; with ``match="line"`` a batting line repeats
-    for every pitching line of its season.
+    lists; stats and awards go to the first stint. ``pitchers`` are raw pitching lines; they are added up
+    per season first, so a batting line never repeats for a pitcher with several stints.
     """
-    out = lines.withColumn("_key", F.lower(keys.entity))
+    sides: list[DataFrame] = []
     sources: list[Column] = []
     if events is not None:
-        out = _attach(out, _side(events, {"categories": "positions_retro"}), keys.period)
+        sides.append(_side(events, {"categories": "positions_retro"}))
         sources.append(F.col("positions_retro"))
-    if events is not None or stints is not None:
-        out = _attach(out, _side(stints, {"categories": "positions_lahman"}), keys.period)
-        if stints is None:
-            out = out.withColumn("positions_lahman", F.lit(None).cast("string"))
+    if stints is not None:
+        sides.append(_side(stints, {"categories": "positions_lahman"}))
         sources.append(F.col("positions_lahman"))
-    drop = ["_key"]
+    sides += [_side(s) for s in (stats, awards) if s is not None]
     if pitchers is not None:
-        side = pitchers.select(
-            F.lower(keys.entity).alias("_side_key"), F.col(keys.period).alias("_side_period"),
-            F.col(keys.games).alias("_games"), F.col(keys.starts).alias("_starts"), F.lit(True).alias("_pitched"),
-        )
-        if match == "season":
-            side = side.groupBy("_side_key", "_side_period").agg(
-                F.sum("_games").alias("_games"), F.sum("_starts").alias("_starts"), F.lit(True).alias("_pitched")
-            )
-        out = _attach(out, side, keys.period)
+        totals = [F.sum(keys.games).alias("_games"), F.sum(keys.starts).alias("_starts"), F.lit(True).alias("_pitched")]
+        season = [F.lower(keys.entity).alias("_side_key"), F.col(keys.period).alias("_side_period")]
+        sides.append(pitchers.groupBy(*season).agg(*totals))
         year = F.col(keys.period)
-        counts = (year < rule.first) | (year > rule.last) | (year.between(rule.first, rule.last) & (F.col(keys.league) == rule.league))
+        between = year.between(rule.first, rule.last) & (F.col(keys.league) == rule.league)
+        counts = (year < rule.first) | (year > rule.last) | between
         sources.append(F.when(F.col("_pitched") & counts, _starter(F.col("_games"), F.col("_starts"))))
-        drop += ["_games", "_starts", "_pitched"]
+    out = _attach(lines, sides, keys, _values(stats, awards))
+    if events is not None and stints is None:
+        out = out.withColumn("positions_lahman", F.lit(None).cast("string"))
     if sources:
         out = out.withColumn("position", F.coalesce(*sources))
-    first_stint = F.col(keys.stint) == 1
-    out = reduce(lambda df, side: _attach(df, side, keys.period, first_stint), [_side(stats), _side(awards)], out)
-    return out.drop(*drop)
+    return out.drop("_games", "_starts", "_pitched")
 
 
 def enrich_b(
@@ -362,11 +376,10 @@ def enrich_b(
     awards: DataFrame | None = None,
 ) -> DataFrame:
     """Pitching lines with positions (starter or reliever where no list is known), stats and awards."""
-    out = lines.withColumn("_key", F.lower(keys.entity))
+    sides = [] if events is None else [_side(events, {"categories": "_listed"})]
+    sides += [_side(s) for s in (stats, awards) if s is not None]
+    out = _attach(lines, sides, keys, _values(stats, awards))
     if events is not None:
-        out = _attach(out, _side(events, {"categories": "_listed"}), keys.period)
         role = _starter(F.col(keys.games), F.col(keys.starts))
         out = out.withColumn("positions", F.coalesce("_listed", role)).drop("_listed")
-    first_stint = F.col(keys.stint) == 1
-    out = reduce(lambda df, side: _attach(df, side, keys.period, first_stint), [_side(stats), _side(awards)], out)
-    return out.drop("_key")
+    return out

@@ -50,16 +50,23 @@ def average_leaders(lines: DataFrame) -> DataFrame:
     )
 
 
+# Up to this many entity keys are sent to every executor to filter a scan.
+BROADCAST_KEYS = 1_000_000
+
+
 def search_names(lines: DataFrame, pattern: str) -> DataFrame:
     """Careers whose first name matches a LIKE pattern, ignoring case.
 
-    Entities with any matching line are found first by a narrow scan; only their lines are rolled up.
+    A narrow scan first finds the entities with any matching line. If they are few, they filter the
+    second scan before anything is moved; if not, all careers are built and then filtered.
     """
     def hit(c: str) -> Column:
         return F.lower(c).like(pattern.lower())
 
     found = lines.where(hit("name")).select("entity").distinct()
-    book = careers(seasons(lines.join(found, "entity", "left_semi"), by_entity=True))
+    if found.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        lines = lines.join(F.broadcast(found), "entity", "left_semi")
+    book = careers(seasons(lines, by_entity=True))
     return book.where(hit("name")).orderBy(desc_last("total"), asc_last("first_line")).select(*CAREER)
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# line number = file number * 2^40 + row in the file
-ROWS_PER_FILE_BITS = 40
+# line number = file number * 2^36 + row in the file; it stays below 2^60 up to 16 million files
+ROWS_PER_FILE_BITS = 36
 # A file list up to this length (about 200 bytes a name) is sent to every executor.
 BROADCAST_FILES = 500_000
 

@@ -22,14 +22,16 @@ def test_ordered_sum_is_the_left_fold_per_block(spark):
             acc = v if acc is None else acc + v
         return acc
 
-    for block in (1 << 16, 100):
+    for block in (1 << 16, 100, 7):
         expect = {}
         for key in ("a", "b"):
-            blocks = {}
-            for k, o, x in rows:
-                if k == key:
+            level = [(o, x) for k, o, x in rows if k == key]
+            for _ in range(2):
+                blocks = {}
+                for o, x in level:
                     blocks.setdefault(o // block, []).append(x)
-            expect[key] = fold([fold(blocks[b]) for b in sorted(blocks)])
+                level = [(b, fold(blocks[b])) for b in sorted(blocks)]
+            expect[key] = fold([x for _, x in level])
         got = {r.k: r.total for r in ordered_sum(df, ["k"], "x", "o", block=block).collect()}
         assert got == expect
 
