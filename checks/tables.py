@@ -14,8 +14,22 @@ LEAGUES = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
 ROLES = Roles("entity", "name", "period", "grp", "league", "measure", "cost", "category", "line_no")
 
 
+# Given schemas: without them every read starts with a job that opens a file footer.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def star(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +38,7 @@ def star(spark: SparkSession, sf_dir: str) -> DataFrame:
     # ones are not. Orders get their customer's name first, so that lines are moved by order only once;
     # neither side of that join passes for small, so the fact table is never the one broadcast.
     line = (
-        read_facts(spark, f"{sf_dir}/lineitem.parquet")
+        read_facts(spark, f"{sf_dir}/lineitem.parquet", schema=SCHEMAS["lineitem"])
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -15,9 +15,15 @@ ROWS_PER_FILE_BITS = 36
 BROADCAST_FILES = 500_000
 
 
-def read_facts(spark: SparkSession, *paths: str, line_no: str | None = "line_no") -> DataFrame:
-    """Parquet fact table, with a ``line_no`` that follows file name and row order."""
-    df = spark.read.parquet(*paths)
+def read_facts(
+    spark: SparkSession, *paths: str, line_no: str | None = "line_no", schema: T.StructType | str | None = None
+) -> DataFrame:
+    """Parquet fact table, with a ``line_no`` that follows file name and row order.
+
+    A given ``schema`` saves the job that reads it from a file footer.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(*paths)
     return number_lines(df, line_no) if line_no else df
 
 
