@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pennant.operators.enrich import category_list_from_events
 from pennant.sources import Roles, as_lines, read_facts
+from pennant.sources.checkpoints import cut_lineage
 
 # Cents taken off every line, so that negative totals occur.
 LINE_OFFSET = 4_000_000
@@ -135,7 +136,8 @@ def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("entity", "period", "award", F.lit(None).cast("string").alias("league"))
     )
     best = _most(prizes, ["award", "league", "period"]).select("entity", "period", "award", "league")
-    return best.unionByName(honours).withColumn("winner", F.lit(True))
+    # stands in for a stored table, so it is worked out once
+    return cut_lineage(best.unionByName(honours).withColumn("winner", F.lit(True)))
 
 
 # --- Raw inputs of the enrichment jobs ----------------------------------------------------------
@@ -161,6 +163,7 @@ def raw_awards(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
         .join(names, "entity")
         .select(F.col("c_name").alias("entity"), award.alias("award"), "period", league.alias("league"))
     )
+    given = cut_lineage(given)  # stands in for a stored table
     urgent = F.col("priority") == "1-URGENT"
     shares = (
         base.groupBy("entity", "name", "period", "league")

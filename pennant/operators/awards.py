@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pennant.functions import asc_last, desc_last, ratio
 from pennant.operators.leaders import top_n
+from pennant.sources.checkpoints import cut_lineage
 
 # A period-only join key has few values; each is spread over this many tasks.
 SALT = 32
@@ -90,8 +91,9 @@ def award_snubs(
     """
     won = winners_of(awards, award)
     measured = lines.where(F.col("measure").isNotNull())
-    # totals per (entity, period, league) serve both sides: one pass over the lines
-    by_league = (
+    # totals per (entity, period, league) serve winners and rivals; written once, so that the lines are
+    # read once and not once for each side
+    by_league = cut_lineage(
         measured.groupBy("entity", "name", "period", "league")
         .agg(F.sum("measure").alias("total"))
         .groupBy("entity", "period", "league")
@@ -117,7 +119,7 @@ def award_snubs(
         "advantage", F.col("total") - F.col("winner_total")
     )
     orders = [desc_last("advantage"), *[asc_last(c) for c in ("period", "entity", "league", "winner")]]
-    best = top_n(found, orders, n)
+    best = cut_lineage(top_n(found, orders, n))
     # at most n winners are left, so their names are looked up by a filter on the scan side
     of_interest = best.select(F.col("winner").alias("entity")).distinct()
     names = (
@@ -166,10 +168,13 @@ def award_snubs_two_source(
     )
     counted = F.col("league").isin(list(leagues)) & F.col("own_total").isNotNull()
     lead = F.min(F.when(counted, F.struct((-F.col("own_total")).alias("t"), F.col("league").alias("league"))))
-    perf = by_league.groupBy("entity", "period").agg(
-        F.coalesce(F.max("own_name"), F.max("other_name")).alias("name"),
-        F.sum("total").alias("total"),
-        lead.alias("_lead"),
+    # used on both sides below, so written once
+    perf = cut_lineage(
+        by_league.groupBy("entity", "period").agg(
+            F.coalesce(F.max("own_name"), F.max("other_name")).alias("name"),
+            F.sum("total").alias("total"),
+            lead.alias("_lead"),
+        )
     )
     won = winners_of(awards, award).select("entity", "period", "league")
     winners = won.join(perf, ["entity", "period"]).select(

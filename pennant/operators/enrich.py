@@ -94,7 +94,7 @@ def canonical_winners(awards: DataFrame, selections: DataFrame) -> DataFrame:
 
 def build_awards(awards: DataFrame, shares: DataFrame, selections: DataFrame) -> DataFrame:
     """One row per award and candidate: every ballot, marked if won, and every win without a ballot."""
-    won = canonical_winners(awards, selections)
+    won = cut_lineage(canonical_winners(awards, selections))
     ballots = shares.withColumn(
         "award", F.when(F.col("award") == PRIMARY_MVP, MVP).when(F.col("award") == PRIMARY_ROOKIE, ROOKIE).otherwise(F.col("award"))
     )

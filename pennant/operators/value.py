@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pennant.functions import asc_last, desc_last, ratio
 from pennant.operators.leaders import top_n
 from pennant.operators.rollups import careers, season_groups, seasons
+from pennant.sources.checkpoints import cut_lineage
 from pennant.sources.lines import active_since
 
 CAREER_COST = ["entity", "name", "total", "cost", "periods", "span", "groups"]
@@ -31,6 +32,8 @@ def cost_per_value(
     ``active_in`` (all lines): keep entities whose last period is that of source 0 as a whole.
     """
     book, columns = _book(lines, level)
+    # the minimum and the ranking both read it: written once, so the lines are rolled up once
+    book = cut_lineage(book)
     lowest = book.agg(F.min("total")).scalar()
     paid = book.where(F.col("cost") > 0)
     if active_in is not None:
