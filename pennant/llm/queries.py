@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pennant.llm.common import ship_code
 from pennant.llm.exact_dedup import exact_groups
+from pennant.llm.html_extract import extract
 from pennant.llm.language_id import languages
+from pennant.llm.lm_score import lm_scores
+from pennant.llm.sentencepiece_codec import load, round_trips
 from pennant.llm.url_filter import rule_table, url_verdicts
 
+SENTENCEPIECE_MODEL = os.environ.get("PENNANT_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
 # The listed rules.
 URL_RULES = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"),
@@ -25,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trips(table(spark, sf_dir, "documents"), load(SENTENCEPIECE_MODEL))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
@@ -33,7 +44,18 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_language_id, op8_url_filter)}
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op3_exact_dedup, op4_sentencepiece, op6_language_id, op8_url_filter, op9_lm_score, op10_html_extract)
+}
 
 ORACLE = {
     "op3_exact_dedup": r"""
