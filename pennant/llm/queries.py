@@ -7,10 +7,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from pennant.llm.common import ship_code
+from pennant.llm.decontaminate import contaminated
 from pennant.llm.exact_dedup import exact_groups
 from pennant.llm.html_extract import extract
 from pennant.llm.language_id import languages
 from pennant.llm.lm_score import lm_scores
+from pennant.llm.quality import quality
 from pennant.llm.sentencepiece_codec import load, round_trips
 from pennant.llm.url_filter import rule_table, url_verdicts
 
@@ -28,6 +30,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
@@ -40,6 +46,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
 
@@ -54,7 +64,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_exact_dedup, op4_sentencepiece, op6_language_id, op8_url_filter, op9_lm_score, op10_html_extract)
+    for f in (op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op6_language_id, op7_quality, op8_url_filter, op9_lm_score, op10_html_extract)
 }
 
 ORACLE = {
