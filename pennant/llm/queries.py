@@ -10,6 +10,7 @@ from pennant.llm.common import ship_code
 from pennant.llm.decontaminate import contaminated
 from pennant.llm.exact_dedup import exact_groups
 from pennant.llm.html_extract import extract
+from pennant.llm.jaccard_join import jaccard_components
 from pennant.llm.language_id import languages
 from pennant.llm.lm_score import lm_scores
 from pennant.llm.quality import quality
@@ -30,6 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,10 +69,28 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op6_language_id, op7_quality, op8_url_filter, op9_lm_score, op10_html_extract)
+    for f in (op1_jaccard_join, op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op6_language_id, op7_quality, op8_url_filter, op9_lm_score, op10_html_extract)
 }
 
 ORACLE = {
+    "op1_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5
+                THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        i AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), e AS (
+            SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+        ), c(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT c.doc_id, e.b FROM c JOIN e ON c.other = e.a
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM c GROUP BY doc_id) m USING (doc_id)""",
     "op3_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
