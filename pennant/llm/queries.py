@@ -15,6 +15,7 @@ from pennant.llm.language_id import languages
 from pennant.llm.lm_score import lm_scores
 from pennant.llm.quality import quality
 from pennant.llm.sentencepiece_codec import load, round_trips
+from pennant.llm.substring_dedup import substring_dedup
 from pennant.llm.url_filter import rule_table, url_verdicts
 
 SENTENCEPIECE_MODEL = os.environ.get("PENNANT_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -47,6 +48,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trips(table(spark, sf_dir, "documents"), load(SENTENCEPIECE_MODEL))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
@@ -69,7 +74,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op6_language_id, op7_quality, op8_url_filter, op9_lm_score, op10_html_extract)
+    for f in (op1_jaccard_join, op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_quality, op8_url_filter, op9_lm_score, op10_html_extract)
 }
 
 ORACLE = {

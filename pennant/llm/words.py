@@ -30,7 +30,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_TABLE = mix(np.arange(1, 257, dtype=np.uint64) * U(_BASE))
+EXACT = mix(np.arange(1, 257, dtype=np.uint64) * U(_BASE))
+_TABLE = EXACT.copy()
 for _c in range(ord("A"), ord("Z") + 1):
     _TABLE[_c] = _TABLE[_c + 32]
 _STEPS = [U(pow(0xD6E8FEB86659FD93, k, 1 << 64)) for k in range(64)]
