@@ -215,7 +215,7 @@ def _groups(texts: list, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
 
 
 def encode(docs: DataFrame, codec: Codec, text_col: str = "text") -> DataFrame:
-    """(whole, ids array<int>) per row."""
+    """(whole, ids array<int>, round_trip) per row: whether decoding gives the text back; null counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(codec)  # a vocabulary: of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,10 +226,11 @@ def encode(docs: DataFrame, codec: Codec, text_col: str = "text") -> DataFrame:
                 at = np.concatenate([[0], np.cumsum([len(g) // 4 for g in got])]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(got), "<i4"), pa.int32())
                 ids = pa.ListArray.from_arrays(pa.array(at), flat)
-                yield pa.RecordBatch.from_arrays([b.column("whole").slice(start, end - start), ids], ["whole", "ids"])
+                same = pa.array([shared.value.decode(g) == (t or "") for g, t in zip(got, text[start:end])], pa.bool_())
+                yield pa.RecordBatch.from_arrays([b.column("whole").slice(start, end - start), ids, same], ["whole", "ids", "round_trip"])
 
     base = docs.select(F.struct("*").alias("whole"), F.col(text_col).alias("text"))
-    schema = base.select("whole", F.array(F.lit(0)).alias("ids")).schema
+    schema = base.select("whole", F.array(F.lit(0)).alias("ids"), F.lit(True).alias("round_trip")).schema
     return base.mapInArrow(run, schema)
 
 
