@@ -53,11 +53,11 @@ NUM, UNIT, NAME = (_plain_hash(x) for x in ("<num>", "<unit>", "<name>"))
 def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
     """(token hashes, plain hashes, slot values): the value of a placeholder, None for a plain word.
 
-    A capitalised word inside a sentence is a name; at a sentence's start it is a plain word. Words that are
+    A capitalised word inside a sentence is a name, at a sentence's start a plain word. A unit follows a number. Words that are
     punctuation alone are left out.
     """
     hashes, plains, slots = [], [], []
-    opening = True
+    opening, before = True, 0
     for word in _WORDS.findall(text or ""):
         known = _CACHE.get(word)
         if known is None:
@@ -80,8 +80,9 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str | None]
             known = _CACHE[word] = (*known, bool(_CLOSES.search(word)))
         plain, kind, value, closes = known
         if plain:
-            if kind == NAME and opening:
+            if kind == NAME and opening or kind == UNIT and before != NUM:
                 kind = 0
+            before = kind
             hashes.append(kind or plain)
             plains.append(plain)
             slots.append(value if kind else None)
