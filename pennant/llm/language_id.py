@@ -124,14 +124,10 @@ def _runs(row: np.ndarray) -> list[tuple[int, int]]:
 def training_rows(docs: DataFrame, per_lang: int, id_col: str, text_col: str, lang_col: str, fold: int = 4, held: int = 2) -> DataFrame:
     """(lang, text): for each language about ``per_lang`` documents, chosen by id hash, outside the held-out fold."""
     usable = docs.where((remainder(F.col(id_col), fold) != held) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    sizes = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("n"))
+    sizes = usable.groupBy(F.col(lang_col).alias("lang")).count().collect()  # a row per language
+    share = F.coalesce(*(F.when(F.col(lang_col) == r.lang, F.lit(min(1.0, per_lang / r["count"]))) for r in sizes), F.lit(0.0))
     unit = F.pmod(F.xxhash64(id_col, F.lit(11)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    return (
-        usable.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), unit.alias("unit"))
-        .join(sizes, "lang").where(F.col("unit") < share)
-        .select("lang", "text")
-    )
+    return usable.where(unit < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
 
 def fit(docs: DataFrame, per_lang: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_bytes: int = 4000) -> ByteCNN:
