@@ -23,8 +23,9 @@ from pennant.llm.words import EXACT, U, chunks, mix, prefix_sums
 
 LENGTH, PIECE = 400, 64
 SPAN = LENGTH - PIECE + 1  # pieces of a string
-SORT_BYTES = 400_000  # of segments that are sorted at once
-GROUP = 400  # different segments of an anchor that are sorted together
+SORT_BYTES = 200_000  # of segments that are sorted at once
+GROUP = 250  # different segments of an anchor that are sorted together
+SEEN = 1 << 18  # texts or segments that a task remembers, to skip copies
 FILTER = 1 << 26  # bits of the filter of texts that are fetched: 8 MB
 
 
@@ -127,7 +128,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and a row per segment of each text that the task has not seen."""
     seen: set[bytes] = set()
     for b in batches:
-        for first, end, raw, at in chunks(b.column("text"), 2 << 20):
+        for first, end, raw, at in chunks(b.column("text"), 1 << 20):
             data = raw.tobytes()
             sha = [_key(data[a:z]) for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
             n = len(sha)
@@ -142,7 +143,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             fresh = np.zeros(n, bool)
             for i, s in enumerate(sha):
                 fresh[i] = s not in seen
-                if len(seen) < 1 << 19:
+                if len(seen) < SEEN:
                     seen.add(s)
             keep = fresh[row]
             row, start, strings, anchor = row[keep], start[keep], strings[keep], anchor[keep]
@@ -165,10 +166,11 @@ def _filter(classes: DataFrame) -> np.ndarray:
     """A bitmap of text classes, built in the tasks; of fixed size."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER, bool)
+        bits = np.zeros(FILTER // 8, np.uint8)
         for b in batches:
-            bits[[_place(c) for c in b.column("cls").to_pylist()]] = True
-        words = np.packbits(bits, bitorder="little").view(np.int64)
+            at = np.asarray([_place(c) for c in b.column("cls").to_pylist()], np.int64)
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        words = bits.view(np.int64)
         used = np.flatnonzero(words)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], ["at", "bits"])
 
@@ -193,7 +195,7 @@ def _texts_of(texts: DataFrame, classes: DataFrame) -> DataFrame:
                         cls = _key(data[a:z])[:16]
                         p = _place(cls)
                         if shared.value[p >> 3] >> (p & 7) & 1 and cls not in seen:
-                            if len(seen) < 1 << 19:
+                            if len(seen) < SEEN:
                                 seen.add(cls)
                             keys.append(cls)
                             bodies.append(data[a:z])
@@ -214,7 +216,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shown = []
             for k, c in zip(keys, content):
                 shown.append(None if k in seen else c)
-                if len(seen) < 1 << 19:
+                if len(seen) < SEEN:
                     seen.add(k)
             yield pa.RecordBatch.from_arrays(
                 [

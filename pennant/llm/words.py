@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 SHINGLE = 5
 
 _SPACE = np.zeros(256, bool)
@@ -43,17 +43,18 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, for at least n places; one size is kept for usual chunks."""
-    size = 2 * CHUNK_BYTES
-    if n > size:
-        return _powers(_BASE, n), _powers(_INVERSE, n)
-    if size not in _POWERS:
-        _POWERS[size] = _powers(_BASE, size), _powers(_INVERSE, size)
-    return _POWERS[size]
+    """Powers of the base and of its inverse, for at least n places; those for usual chunks are kept."""
+    if not _POWERS or len(_POWERS[0][0]) < n:
+        size = -(-n // (1 << 18)) << 18
+        made = _powers(_BASE, size), _powers(_INVERSE, size)
+        if size > 2 * CHUNK_BYTES:
+            return made
+        _POWERS[:] = [made]
+    return _POWERS[0]
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
