@@ -26,12 +26,14 @@ NUMERATOR, DENOMINATOR = 75, 100  # linked: 100 * intersection >= 75 * union
 SHARED = 4  # first shingles that linked sets must share
 SKETCH = 1 << 20  # counters; 4 MB are sent to every task
 SKETCH_BLOCK = 1 << 14
-GROUP = 64  # nodes of a group at most
+GROUP = 64  # nodes of a group at most, but for unevenly dealt ones
+BAND = 1.1  # sizes of a group differ by this factor at most
+LOWS = ("low_a", "low_b", "low_c")
 NODE_FILTER = 1 << 26  # bits of the filter of candidate nodes: 8 MB
-SEEN = 1 << 20  # nodes that a task remembers, to skip copies
+SEEN = 1 << 18  # nodes that a task remembers, to skip copies
 BUCKET_TOKENS = 400_000
 
-_A, _B, _C = (U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_A, _B, _C, _D = (U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
 
 
 def _need(n: np.ndarray | int) -> np.ndarray | int:
@@ -47,7 +49,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-PROFILE = "row long, id long, n long, node long, check long, low_a long, low_b long, block int, counts binary, part int"
+PROFILE = "row long, id long, n long, node long, check long, low_a long, low_b long, low_c long, block int, counts binary, part int"
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -56,18 +58,18 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def batch(columns: list, sketch_rows: bool) -> pa.RecordBatch:
         n = len(columns[0])
-        empty = [pa.nulls(n, t) for t in (pa.int64(),) * 7] if sketch_rows else [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())]
+        empty = [pa.nulls(n, t) for t in (pa.int64(),) * 8] if sketch_rows else [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())]
         arrays = [*empty, *columns] if sketch_rows else [*columns, *empty]
-        return pa.RecordBatch.from_arrays(arrays, ["row", "id", "n", "node", "check", "low_a", "low_b", "block", "counts", "part"])
+        return pa.RecordBatch.from_arrays(arrays, ["row", "id", "n", "node", "check", "low_a", "low_b", "low_c", "block", "counts", "part"])
 
     for b in batches:
         part = b.column("part")[0].as_py() if b.num_rows else part
         for start, end, raw, at in chunks(b.column("text")):
             sets = shingle_sets(raw, at)
-            out = np.zeros((5, len(sets)), np.uint64)
+            out = np.zeros((6, len(sets)), np.uint64)
             for i, s in enumerate(sets):
                 if len(s):
-                    out[:, i] = len(s), _node(s), mix(s ^ _B).sum(dtype=np.uint64), mix(s + _C).min(), mix(s ^ _C).min()
+                    out[:, i] = len(s), _node(s), mix(s ^ _B).sum(dtype=np.uint64), mix(s + _C).min(), mix(s ^ _C).min(), mix(s ^ _D).min()
             fresh = []
             for i, node in enumerate(out[1].tolist()):
                 if node not in seen:
@@ -103,13 +105,10 @@ def _sketch(profile: DataFrame) -> np.ndarray:
 
 
 def _first(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The shingles of a set that any linked set must share SHARED of (or all it must share, if fewer)."""
+    """In order, the shingles of a set that any linked set must share SHARED of (or all it must share, if fewer)."""
     need = _need(len(s))
-    k = len(s) - need + min(SHARED, need)
-    if k >= len(s):
-        return s
     order = np.lexsort((s, sketch[(s % U(SKETCH)).astype(np.int64)]))
-    return s[order[:k]]
+    return s[order[: len(s) - need + min(SHARED, need)]]
 
 
 def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
@@ -126,7 +125,7 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarr
 
 
 def _shared_tokens(texts: DataFrame, sketch: np.ndarray, shingles: int) -> DataFrame:
-    """(token, node): first shingles that several nodes hold.
+    """(token, node, place): first shingles that several nodes hold, with their place in the node's order.
 
     Tokens move packed by bucket. A sketch counter is no less than a token's frequency, so a bucket of light tokens is
     bounded; tokens of a heavy counter are dealt out by token and node, and all of them pass.
@@ -136,31 +135,31 @@ def _shared_tokens(texts: DataFrame, sketch: np.ndarray, shingles: int) -> DataF
     shared = texts.sparkSession.sparkContext.broadcast(sketch)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            token, node = (np.concatenate(x) for x in zip(*held))
+            token, node, place = (np.concatenate(x) for x in zip(*held))
             light = shared.value[(token % U(SKETCH)).astype(np.int64)] < heavy
             deal = np.where(light, mix(token ^ _A), mix(token ^ mix(node)))
             bucket = (deal % U(buckets)).astype(np.int64) * 2 + ~light
             order = np.argsort(bucket, kind="stable")
-            bucket, token, node = bucket[order], token[order], node[order]
+            bucket, token, node, place = bucket[order], token[order], node[order], place[order]
             cut = np.concatenate([np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), [len(bucket)]])
             pieces = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(bucket[cut[:-1]]), pa.array([token[a:b].tobytes() for a, b in pieces], pa.binary()),
-                    pa.array([node[a:b].tobytes() for a, b in pieces], pa.binary()),
+                    pa.array([node[a:b].tobytes() for a, b in pieces], pa.binary()), pa.array([place[a:b].tobytes() for a, b in pieces], pa.binary()),
                 ],
-                ["bucket", "tokens", "nodes"],
+                ["bucket", "tokens", "nodes", "places"],
             )
 
         for node, s in _new_sets(batches):
             first = _first(s, shared.value)
-            held.append((first, np.full(len(first), U(node))))
+            held.append((first, np.full(len(first), U(node)), np.arange(len(first), dtype=np.int32)))
             size += len(first)
-            if size > 1 << 20:
+            if size > 1 << 19:
                 yield out()
                 held, size = [], 0
         if held:
@@ -169,17 +168,18 @@ def _shared_tokens(texts: DataFrame, sketch: np.ndarray, shingles: int) -> DataF
     def meet(table: pa.Table) -> pa.Table:
         token = np.frombuffer(b"".join(table.column("tokens").to_pylist()), np.uint64)
         node = np.frombuffer(b"".join(table.column("nodes").to_pylist()), np.uint64)
+        place = np.frombuffer(b"".join(table.column("places").to_pylist()), np.int32)
         if not table.column("bucket")[0].as_py() & 1:
             order = np.argsort(token, kind="stable")
-            token, node = token[order], node[order]
+            token, node, place = token[order], node[order], place[order]
             cut = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
             several = np.minimum.reduceat(node, cut) != np.maximum.reduceat(node, cut)
             keep = np.repeat(several, np.diff(np.concatenate([cut, [len(token)]])))
-            token, node = token[keep], node[keep]
-        return pa.table({"token": token.view(np.int64), "node": node.view(np.int64)})
+            token, node, place = token[keep], node[keep], place[keep]
+        return pa.table({"token": token.view(np.int64), "node": node.view(np.int64), "place": place})
 
-    packed = texts.mapInArrow(pack, "bucket long, tokens binary, nodes binary")
-    return packed.groupBy("bucket").applyInArrow(meet, "token long, node long").distinct()
+    packed = texts.mapInArrow(pack, "bucket long, tokens binary, nodes binary, places binary")
+    return packed.groupBy("bucket").applyInArrow(meet, "token long, node long, place int").distinct()
 
 
 def _filter(nodes: DataFrame) -> np.ndarray:
@@ -249,50 +249,76 @@ def _fits(a: str, b: str) -> Column:
     return NUMERATOR * F.greatest(a, b) <= DENOMINATOR * F.least(a, b)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _may_link() -> Column:
+    """Whether a shingle can be among the first SHARED that a node and a member of a group must share.
+
+    A linked pair shares a = ceil(3/7 (n + m)) shingles, so the k-th of them is at place n - a + k of the node and
+    m - a + k of the member at most. The group stands by the least a and the earliest place of its members.
+    """
+    least = F.greatest("lo", F.ceil(F.col("n") * NUMERATOR / DENOMINATOR))
+    most = F.least("hi", F.floor(F.col("n") * DENOMINATOR / NUMERATOR))
+    a = F.ceil((F.col("n") + least) * NUMERATOR / (NUMERATOR + DENOMINATOR))
+    return (least <= most) & (F.col("place") + a <= F.col("n") + SHARED - 1) & (F.col("other_place") + a <= most + SHARED - 1)
+
+
 def node_components(docs: DataFrame, space: Space, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """((row, id, n, node) per document, (node, component) of linked nodes); a text without words has n = 0."""
     base = numbered(docs).select("row", F.col(f"whole.{id_col}").cast("long").alias("id"), F.col(f"whole.{text_col}").alias("text"))
     texts = base.select("text")
     profile = space.write(base.withColumn("part", F.spark_partition_id()).mapInArrow(_profile, PROFILE), "profile", keep=True)
     rows = profile.where("block IS NULL")
-    nodes = rows.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "low_a", "low_b")))
+    nodes = rows.where("n > 0").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", *LOWS)))
     shingles = nodes.agg(F.sum("n")).first()[0] or 0
     tokens = space.write(_shared_tokens(texts, _sketch(profile), shingles), "tokens")
-    some = F.least(F.lit(SHARED), F.ceil(F.ceil(F.col("n") * NUMERATOR / DENOMINATOR) * NUMERATOR / DENOMINATOR))
-    wanted = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("held")).join(nodes, "node").where(F.col("held") >= some)
-    wanted = space.write(wanted.select("node", "n", "low_a", "low_b", some.alias("some")), "wanted")
-    sets = space.write(_whole_sets(texts, wanted.select("node")), "sets")
-
-    # members and leaders: nodes with the same smallest hash
-    lows = wanted.select("node", "n", F.explode(F.array("low_a", "low_b")).alias("low"))
-    leaders = lows.groupBy("low").agg(F.min_by(F.struct("node", "n"), "node").alias("lead"), F.count(F.lit(1)).alias("many")).where("many > 1")
+    need = F.ceil(F.col("n") * NUMERATOR / DENOMINATOR)
+    some = F.least(F.lit(SHARED), F.ceil(need * NUMERATOR / DENOMINATOR))
+    held = tokens.groupBy("node").agg(F.count(F.lit(1)).alias("held")).join(nodes, "node").where(F.col("held") >= some)
+    common = F.col("held") / (F.col("n") - need + F.least(F.lit(SHARED), need))
+    wanted = space.write(held.select("node", "n", *LOWS, some.alias("some"), common.alias("common")), "wanted")
+
+    # members and leaders: of nodes with the same smallest hash the one whose shingles are held most by others
+    lows = wanted.select("node", "n", "common", F.explode(F.array(*LOWS)).alias("low"))
+    lead = F.max_by(F.struct("node", "n"), F.struct(F.col("common"), F.col("node")))
+    leaders = lows.groupBy("low").agg(lead.alias("lead"), F.count(F.lit(1)).alias("many")).where("many > 1")
     stars = (
         lows.join(leaders, "low").where(F.col("node") != F.col("lead.node"))
         .select(F.col("lead.node").alias("a"), F.col("node").alias("b"), F.col("lead.n").alias("n_a"), F.col("n").alias("n_b"))
         .where(_fits("n_a", "n_b")).select("a", "b").distinct()
     )
-    near = space.write(_linked(stars, sets), "stars")
+    stars = space.write(stars, "stars")
+    sets = space.write(_whole_sets(texts, _ends(stars)), "sets")
+    near = space.write(_linked(stars, sets), "near")
     joined = components(space, near)
 
-    # the matrix: groups of linked nodes against their unions of first shingles
+    # the matrix: groups of linked nodes of about one size against their unions of first shingles
     member = wanted.join(joined, "node", "left").select("node", "n", "some", F.coalesce("component", "node").alias("component"))
-    sizes = member.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    split = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP))
-    member = space.write(member.join(sizes, "component").withColumn("split", split).drop("size"), "members")
+    member = member.withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))))
+    sizes = member.groupBy("component", "band").agg(F.count(F.lit(1)).alias("size"))
+    split = F.struct("band", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP)).alias("split"))
+    member = space.write(member.join(sizes, ["component", "band"]).select("node", "n", "some", "component", split.alias("part")), "members")
     held = tokens.join(member, "node")
     open_tokens = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     held = space.write(held.join(open_tokens, "token", "left_semi"), "held")
-    matrix = held.select("token", F.col("component").alias("other"), F.col("split").alias("part")).distinct()
+    matrix = held.groupBy("token", F.col("component").alias("other"), F.col("part").alias("other_part")).agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("place").alias("other_place")
+    )
     opened = (
-        held.select("token", "node", "n", "some", "component").join(matrix, "token").where("component < other")
-        .groupBy("node", "n", "some", "other", "part").agg(F.count(F.lit(1)).alias("overlap"))
-        .where("overlap >= some").select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("other").alias("component"), F.col("part").alias("split"))
+        held.join(matrix, (held.token == matrix.token) & (F.col("component") < F.col("other")) & _may_link())
+        .groupBy("node", "n", "some", "other", "other_part").agg(F.count(F.lit(1)).alias("overlap"))
+        .where("overlap >= some").select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("other").alias("component"), F.col("other_part").alias("part"))
     )
     pairs = (
-        opened.join(member.select("component", "split", F.col("node").alias("b"), F.col("n").alias("n_b")), ["component", "split"])
+        opened.join(member.select("component", "part", F.col("node").alias("b"), F.col("n").alias("n_b")), ["component", "part"])
         .where(_fits("n_a", "n_b")).select("a", "b")
     )
-    far = space.write(_linked(pairs, sets), "links")
+    pairs = space.write(pairs, "pairs")
+    more = _ends(pairs).join(sets.select("node"), "node", "left_anti")
+    more = space.write(_whole_sets(texts, space.write(more, "more")), "sets")
+    far = space.write(_linked(pairs, sets.union(more)), "far")
     merged = components(space, near.union(far))
     return rows.select("row", "id", "n", "node"), space.write(merged, "components", keep=True)
 
