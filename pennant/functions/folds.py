@@ -4,31 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _left_fold(pairs: Column) -> Column:
-    xs = F.transform(F.array_sort(pairs), lambda p: p["x"])
-    return F.aggregate(
-        F.slice(xs, 2, F.greatest(F.size(xs) - 1, F.lit(0))), F.get(xs, 0), lambda acc, x: acc + x
-    )
+def ordered_sum(df: DataFrame, keys: Sequence[str], value: str, order: str, alias: str = "total") -> DataFrame:
+    """Sum doubles per key from the first to the last in ascending ``order``, so that every run gives the same bits.
 
-
-def ordered_sum(
-    df: DataFrame, keys: Sequence[str], value: str, order: str, alias: str = "total", block: int = 1 << 16
-) -> DataFrame:
-    """Sum doubles per key in ascending ``order``, so that the last bit is the same in every run.
-
-    ``order`` is a unique whole number per row. Rows are folded left to right inside blocks of
-    ``block`` consecutive order values, the block sums likewise inside blocks of blocks, and so on up.
-    A key whose rows lie in one block gets the plain left fold. No task ever holds more than ``block``
-    values of one key, however many rows the key has.
+    The sum is the plain left fold at any size. A fold is sequential by nature: a key's rows are sorted and streamed
+    through one task, which can spill and holds none of them. For huge keys give the value an exact type
+    (``decimal``, ``long``) and use ``sum``, which is split and combined map-side.
     """
-    level = df.where(F.col(value).isNotNull()).select(*keys, F.col(order).alias("_k"), F.col(value).alias("_x"))
-    pair = F.struct(F.col("_k").alias("k"), F.col("_x").alias("x"))
-    # two levels cover block^3 order values (2^48) with at most ``block`` values left for the last
-    for _ in range(2):
-        level = level.groupBy(*keys, F.expr(f"_k div {block}").alias("_b")).agg(_left_fold(F.collect_list(pair)).alias("_x"))
-        level = level.withColumnRenamed("_b", "_k")
-    return level.groupBy(*keys).agg(_left_fold(F.collect_list(pair)).alias(alias))
+    kept = df.where(F.col(value).isNotNull()).select(*keys, F.col(order).alias("_k"), F.col(value).alias("_x"))
+    ahead = Window.partitionBy(*keys).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = kept.withColumn("_x", F.sum("_x").over(ahead))
+    return running.groupBy(*keys).agg(F.max_by("_x", "_k").alias(alias))

@@ -14,9 +14,6 @@ from pennant.functions import asc_last, desc_last, ratio
 from pennant.operators.leaders import top_n
 from pennant.sources.checkpoints import cut_lineage
 
-# A period-only join key has few values; each is spread over this many tasks.
-SALT = 32
-
 
 def winners_of(awards: DataFrame, award: str, since: int | None = None) -> DataFrame:
     won = awards.where((F.col("award") == award) & F.col("winner"))
@@ -61,15 +58,20 @@ def worst_winners(lines: DataFrame, awards: DataFrame, award: str, n: int) -> Da
     )
 
 
-def _rivals(perf: DataFrame, winners: DataFrame, keys: Sequence[str], condition: Column) -> DataFrame:
-    """Join each winner with the seasons that meet ``condition``.
+def _ends(df: DataFrame, keys: Sequence[str], total: str, tie: str, n: int, places: int | None, *, top: bool) -> DataFrame:
+    """The rows per key that can be part of a best-``n`` pair: the highest or lowest totals, two to spare.
 
-    The winners are few and the keys (a period, a league) are few, so all seasons of one key would
-    land in one task. The seasons are spread by a salt and the winners repeated once per salt value.
+    A pair of the best ``n`` holds one of the ``n + 1`` best contenders of its key (one may be the winner itself), for
+    any other has ``n`` better ones, or equal ones that come first, and likewise on the winners' side. Where
+    advantages are rounded, ties of the rounded value must stay: whole steps of the last place are ranked instead.
+    Spark trims every task to these rows before anything moves.
     """
-    salted = perf.withColumn("_salt", F.pmod(F.hash("entity"), F.lit(SALT)))
-    spread = winners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return salted.join(spread, [*keys, "_salt"]).where(condition).drop("_salt")
+    first = desc_last if top else asc_last
+    if places is None:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(first(total), asc_last(tie)))
+    else:
+        place = F.dense_rank().over(Window.partitionBy(*keys).orderBy(first(F.floor(F.col(total) * 10**places))))
+    return df.withColumn("_place", place).where(F.col("_place") <= n + 3).drop("_place")
 
 
 def award_snubs(
@@ -115,16 +117,16 @@ def award_snubs(
         & (F.col("entity") != F.col("winner"))
         & (F.col("total") > F.col("winner_total"))
     )
-    found = _rivals(contenders, winners, ["period"], beats).withColumn(
-        "advantage", F.col("total") - F.col("winner_total")
-    )
+    rivals = _ends(contenders, ["period", "league"], "total", "entity", n, None, top=True)
+    lowest = _ends(winners, ["period", "scope"], "winner_total", "winner", n, None, top=False)
+    found = rivals.join(lowest, "period").where(beats).withColumn("advantage", F.col("total") - F.col("winner_total"))
     orders = [desc_last("advantage"), *[asc_last(c) for c in ("period", "entity", "league", "winner")]]
     best = cut_lineage(top_n(found, orders, n))
-    # at most n winners are left, so their names are looked up by a filter on the scan side
+    # at most n winners are left; Spark sends them to the scan
     of_interest = best.select(F.col("winner").alias("entity")).distinct()
     names = (
         lines.select("entity", "name")
-        .join(F.broadcast(of_interest), "entity", "left_semi")
+        .join(of_interest, "entity", "left_semi")
         .groupBy(F.col("entity").alias("winner"))
         .agg(F.max("name").alias("winner_name"))
     )
@@ -183,9 +185,9 @@ def award_snubs_two_source(
     )
     rivals = perf.where(F.col("_lead").isNotNull()).withColumn("league", F.col("_lead.league")).drop("_lead")
     beats = (F.col("entity") != F.col("winner")) & (F.col("total") > F.col("winner_total"))
-    found = _rivals(rivals, winners, ["period", "league"], beats).withColumn(
-        "advantage", F.col("total") - F.col("winner_total")
-    )
+    best = _ends(rivals, ["period", "league"], "total", "entity", n, places, top=True)
+    lowest = _ends(winners, ["period", "league"], "winner_total", "winner", n, places, top=False)
+    found = best.join(lowest, ["period", "league"]).where(beats).withColumn("advantage", F.col("total") - F.col("winner_total"))
     if places is not None:
         found = found.withColumns({c: F.round(c, places) for c in ("total", "winner_total", "advantage")})
     orders = [desc_last("advantage"), *[asc_last(c) for c in ("period", "entity", "league", "winner")]]

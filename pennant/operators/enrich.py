@@ -80,8 +80,7 @@ def canonical_winners(awards: DataFrame, selections: DataFrame) -> DataFrame:
     league.
     """
     given = awards.where(F.col("award") == PRIMARY_MVP).select("period", "league").distinct().withColumn("_given", F.lit(True))
-    # one row per period and league
-    tagged = awards.select("entity", "period", "award", "league").join(F.broadcast(given), ["period", "league"], "left")
+    tagged = awards.select("entity", "period", "award", "league").join(given, ["period", "league"], "left")
     kept = tagged.where((F.col("award") != SUBSTITUTE_MVP) | F.col("_given").isNull())
     short = (
         F.when(F.col("award").isin(PRIMARY_MVP, SUBSTITUTE_MVP), MVP)
@@ -139,7 +138,7 @@ def award_lists(awards: DataFrame, selections: DataFrame) -> DataFrame:
         .when(F.col("award") == PRIMARY_ROOKIE, ROOKIE)
         .when(F.col("award") != SUBSTITUTE_MVP, F.col("award"))
     )
-    named = awards.join(F.broadcast(given), ["period", "league"], "left").select("entity", "period", short.alias("award"))
+    named = awards.join(given, ["period", "league"], "left").select("entity", "period", short.alias("award"))
     every = named.unionByName(selections.select("entity", "period", F.lit(SELECTION).alias("award")))
     return (
         every.where(F.col("award").isNotNull())
@@ -284,18 +283,20 @@ def _side(df: DataFrame, rename: Mapping[str, str] | None = None) -> DataFrame:
 
 
 def _merged(sides: Sequence[DataFrame]) -> DataFrame:
-    """One table out of several that are keyed alike.
+    """One table out of several that are keyed alike: per key one whole row of each.
 
-    The lines then meet it in one join. It is written out first: a join of two plain exchanges is the
+    Ids that differ in case alone share a key. Of a side's rows of one key the greatest (column by column, from the
+    first) stands for all; rows are never mixed.
+
+    The lines then meet the table in one join. It is written out first: a join of two plain exchanges is the
     shape in which Spark splits a hot key at run time, which a chain of joins is not.
     """
-    if len(sides) == 1:
-        return cut_lineage(sides[0])
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
-    values = [c for c in stacked.columns if c not in ("_side_key", "_side_period")]
-    return cut_lineage(
-        stacked.groupBy("_side_key", "_side_period").agg(*[F.max(f"`{c}`").alias(c) for c in values])
-    )
+    keys = ["_side_key", "_side_period"]
+    values = [[c for c in side.columns if c not in keys] for side in sides]
+    packed = [side.select(*keys, F.struct(*[f"`{c}`" for c in own]).alias(f"_side_{i}")) for i, (side, own) in enumerate(zip(sides, values))]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    rows = stacked.groupBy(*keys).agg(*[F.max(f"_side_{i}").alias(f"_side_{i}") for i in range(len(sides))])
+    return cut_lineage(rows.select(*keys, *[F.col(f"_side_{i}.`{c}`").alias(c) for i, own in enumerate(values) for c in own]))
 
 
 def _attach(lines: DataFrame, sides: Sequence[DataFrame], keys: LineKeys, first_stint: Sequence[str] = ()) -> DataFrame:

@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.functions import asc_last, desc_last, rounded_units
-from pennant.operators.leaders import CAREER, SEASON, top_n
+from pennant.operators.leaders import CAREER, SEASON, shown, top_n
+from pennant.operators.ranking import numbered
 from pennant.operators.rollups import careers, group_totals, season_groups, seasons
 
 
 def group_career_leaders(
-    lines: DataFrame, group: str, n: int | None = None, *, worst: bool = False, group_order: str = "slot"
+    lines: DataFrame, group: str, n: int | None = None, *, worst: bool = False, group_order: str = "slot",
+    places: int | None = None,
 ) -> DataFrame:
-    """Careers of everyone who was ever in ``group``, best or worst first."""
+    """Careers of everyone who was ever in ``group``, best or worst first, sorted as printed with ``places``."""
     book = careers(seasons(lines, by_entity=True), group_order=group_order)
     book = book.where(F.array_contains("group_list", group))
-    first = asc_last("total") if worst else desc_last("total")
+    total = shown("total", places)
+    first = asc_last(total) if worst else desc_last(total)
     return top_n(book, [first, asc_last("first_line")], n).select(*CAREER)
 
 
@@ -54,23 +57,22 @@ def best_roster_per_group(lines: DataFrame, *, unit: int = 1, ranked: bool = Fal
     place = F.row_number().over(Window.partitionBy("grp").orderBy(*orders))
     best = rosters(lines).withColumn("_place", place).where(F.col("_place") == 1)
     if ranked:
-        # one row per group from here on
-        rank = F.row_number().over(Window.orderBy(*orders))
-        best = best.withColumn("rank_label", F.concat(rank.cast("string"), F.lit(":")))
+        best = numbered(best, orders).withColumn("rank_label", F.concat(F.col("rank").cast("string"), F.lit(":")))
     return best.orderBy(*orders).select(
         *(["rank_label"] if ranked else []), "period", "grp", rounded_units("total", unit).alias("rounded")
     )
 
 
 def roster_careers(
-    lines: DataFrame, group: str, period: int, *, concise: bool = False, unit: int = 1
+    lines: DataFrame, group: str, period: int, *, concise: bool = False, unit: int = 1,
+    places: int | None = None,
 ) -> DataFrame:
-    """Careers of the members of one (group, period) roster."""
+    """Careers of the members of one (group, period) roster, sorted as printed with ``places``."""
     here = F.bool_or((F.col("period") == period) & F.exists("sightings", lambda s: s["grp"] == group))
     book = careers(
         seasons(lines, by_entity=True), name_order="period", group_order="slot", extra={"on_roster": here}
     ).where("on_roster")
-    book = book.orderBy(desc_last("total"), asc_last("name"), asc_last("entity"))
+    book = book.orderBy(desc_last(shown("total", places)), asc_last("name"), asc_last("entity"))
     if concise:
         return book.select("entity", "name", rounded_units("total", unit).alias("rounded"))
     return book.select(*CAREER)

@@ -18,15 +18,24 @@ def top_n(df: DataFrame, orders: list[Column], n: int | None = None) -> DataFram
     return ordered if n is None else ordered.limit(n)
 
 
+def shown(column: str, places: int | None) -> Column:
+    """What a report sorts by: a total as it is printed, so that equal prints fall back to the tie order."""
+    return F.col(column) if places is None else F.round(column, places)
+
+
 def career_leaders(
-    lines: DataFrame, n: int, *, name_order: str = "period", group_order: str = "slot", season_filter: Column | None = None
+    lines: DataFrame, n: int, *, name_order: str = "period", group_order: str = "slot", season_filter: Column | None = None,
+    places: int | None = None,
 ) -> DataFrame:
-    """Entities with the highest career total. ``season_filter`` drops seasons before the roll-up."""
+    """Entities with the highest career total, sorted as printed with ``places``.
+
+    ``season_filter`` drops seasons before the roll-up.
+    """
     per_season = seasons(lines, by_entity=True)
     if season_filter is not None:
         per_season = per_season.where(season_filter)
     book = careers(per_season, name_order=name_order, group_order=group_order)
-    return top_n(book, [desc_last("total"), asc_last("name"), asc_last("entity")], n).select(*CAREER)
+    return top_n(book, [desc_last(shown("total", places)), asc_last("name"), asc_last("entity")], n).select(*CAREER)
 
 
 def period_leaders(lines: DataFrame, n: int, *, worst: bool = False) -> DataFrame:
@@ -50,24 +59,14 @@ def average_leaders(lines: DataFrame) -> DataFrame:
     )
 
 
-# Up to this many entity keys are sent to every executor to filter a scan.
-BROADCAST_KEYS = 1_000_000
-
-
-def search_names(lines: DataFrame, pattern: str) -> DataFrame:
+def search_names(lines: DataFrame, pattern: str, *, places: int | None = None) -> DataFrame:
     """Careers whose first name matches a LIKE pattern, ignoring case.
 
-    A narrow scan first finds the entities with any matching line. If they are few, they filter the
-    second scan before anything is moved; if not, all careers are built and then filtered.
+    The first name of a career is known only once its lines are rolled up, so careers are built, in one pass,
+    and then filtered.
     """
-    def hit(c: str) -> Column:
-        return F.lower(c).like(pattern.lower())
-
-    found = lines.where(hit("name")).select("entity").distinct()
-    if found.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        lines = lines.join(F.broadcast(found), "entity", "left_semi")
-    book = careers(seasons(lines, by_entity=True))
-    return book.where(hit("name")).orderBy(desc_last("total"), asc_last("first_line")).select(*CAREER)
+    book = careers(seasons(lines, by_entity=True)).where(F.lower("name").like(pattern.lower()))
+    return book.orderBy(desc_last(shown("total", places)), asc_last("first_line")).select(*CAREER)
 
 
 def measure_leaders(lines: DataFrame, n: int, *, level: str = "career", places: int | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.functions import asc_last, desc_last, first_item, first_seen, joined, list_position, ratio, year_span
-from pennant.operators.leaders import CAREER, season_categories, top_n
+from pennant.operators.leaders import CAREER, season_categories, shown, top_n
 from pennant.operators.rollups import careers, seasons
 from pennant.sources.checkpoints import cut_lineage
 
@@ -50,8 +50,8 @@ def numbered(df: DataFrame, orders: Sequence[Column], alias: str = "rank", keys:
     )
 
 
-def best_k_periods(lines: DataFrame, k: int, n: int, *, since: int | None = None) -> DataFrame:
-    """Highest sum of an entity's ``k`` best seasons; groups come from those seasons only.
+def best_k_periods(lines: DataFrame, k: int, n: int, *, since: int | None = None, places: int | None = None) -> DataFrame:
+    """Highest sum of an entity's ``k`` best seasons, sorted as printed with ``places``; groups come from those only.
 
     ``since``: only entities whose last season is in that period or later (all their seasons count).
     """
@@ -75,7 +75,7 @@ def best_k_periods(lines: DataFrame, k: int, n: int, *, since: int | None = None
         joined(first_seen(seen, "grp")).alias("groups"),
         F.min("entity_line").alias("first_line"),
     )
-    return top_n(totals, [desc_last("total"), asc_last("first_line")], n).select(*CAREER)
+    return top_n(totals, [desc_last(shown("total", places)), asc_last("first_line")], n).select(*CAREER)
 
 
 def _peak() -> Column:

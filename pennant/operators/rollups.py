@@ -19,9 +19,12 @@ def stints(lines: DataFrame, *, name: bool = True, extra: tuple[str, ...] = ())
     """Totals per (entity, period, group).
 
     The name is a grouping key rather than an aggregate: string buffers would turn the hash
-    aggregation over the raw lines into a sort.
+    aggregation over the raw lines into a sort. ``lines`` may be stored stints (``stored_stints``): they are added up.
     """
     keys = ["entity", *(["name"] if name else []), "period", "grp", *extra]
+    if "n_lines" in lines.columns:
+        sums = [F.sum(c).alias(c) for c in ("total", "cost", "n_lines")]
+        return lines.groupBy(*keys).agg(*sums, *[F.min(c).alias(c) for c in ("first_line", "first_slot")])
     return lines.groupBy(*keys).agg(
         F.sum("measure").alias("total"),
         F.sum("cost").alias("cost"),
@@ -31,6 +34,14 @@ def stints(lines: DataFrame, *, name: bool = True, extra: tuple[str, ...] = ())
     )
 
 
+def stored_stints(lines: DataFrame) -> DataFrame:
+    """Stints per source, to be written once and given to the operators in place of the lines.
+
+    Everything that needs totals, costs, names, groups and their order gets the same result from them.
+    """
+    return stints(lines, extra=("source",))
+
+
 def seasons(lines: DataFrame, *, by_entity: bool = False) -> DataFrame:
     """One row per (entity, period): name, total, mean cost, and where each group was first seen.
 

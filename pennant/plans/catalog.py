@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pennant.operators import active, awards, cohorts, groups, leaders, ranking, streaks, value
+from pennant.operators.rollups import stored_stints
 from pennant.plans.reports import Field, Report, write_report
 from pennant.sources import Roles, as_lines, read_facts, union_lines
 
@@ -98,10 +99,11 @@ class Book:
     pitch: DataFrame
     awards_table: DataFrame | None = None
     teams_table: DataFrame | None = None
+    stints_table: DataFrame | None = None  # the major leagues' lines, rolled up once for all reports
 
     @classmethod
-    def open(cls, spark: SparkSession, folder: str, awards: bool = True, teams: bool = True) -> Book:
-        """Tables as the table build writes them, under ``folder``."""
+    def open(cls, spark: SparkSession, folder: str, awards: bool = True, teams: bool = True, stints: bool = True) -> Book:
+        """Tables as the table build writes them, under ``folder``; without ``stints`` reports roll the lines up."""
 
         def lines(name: str) -> DataFrame:
             df = spark.read.parquet(f"{folder}/{name}")
@@ -112,8 +114,13 @@ class Book:
             lines("war_daily_pitch"),
             spark.read.parquet(f"{folder}/awards") if awards else None,
             spark.read.parquet(f"{folder}/teams") if teams else None,
+            spark.read.parquet(f"{folder}/stints") if stints else None,
         )
 
+    def roll_up(self) -> DataFrame:
+        """The table of stints, with groups as written."""
+        return stored_stints(union_lines(*[self._lines(s, leagues=MAJOR_LEAGUES, fold_group=None) for s in (0, 1)]))
+
     def _lines(self, source: int, measure: str = "WAR", **options) -> DataFrame:
         df = (self.bat, self.pitch)[source]
         have = {c.lower() for c in df.columns}
@@ -127,10 +134,19 @@ class Book:
 
     @cached_property
     def lines(self) -> DataFrame:
+        if self.stints_table is not None:
+            return self.stints_table.withColumn("grp", F.upper("grp"))
+        return self.major_lines
+
+    @cached_property
+    def major_lines(self) -> DataFrame:
+        """Single lines of the major leagues, for what stints do not hold."""
         return union_lines(*[self._lines(s, leagues=MAJOR_LEAGUES) for s in (0, 1)])
 
     @cached_property
     def lower_lines(self) -> DataFrame:
+        if self.stints_table is not None:
+            return self.stints_table.withColumn("grp", F.lower("grp"))
         return union_lines(*[self._lines(s, leagues=MAJOR_LEAGUES, fold_group="lower") for s in (0, 1)])
 
     @cached_property
@@ -214,7 +230,7 @@ def _reports() -> Iterable[Report]:
     def add(name: str, title: str, layout, shape, build) -> Report:
         return Report(name, title, layout, lambda book: shape(build(book)))
 
-    yield add("career_leaders", "Top 10 careers by WAR", CAREER, _career, lambda b: leaders.career_leaders(b.lines, 10))
+    yield add("career_leaders", "Top 10 careers by WAR", CAREER, _career, lambda b: leaders.career_leaders(b.lines, 10, places=2))
     yield add("season_leaders", "Top 10 seasons by WAR", SEASON, _season, lambda b: leaders.period_leaders(b.lines, 10))
     yield add(
         "season_trailers", "Bottom 10 seasons by WAR", SEASON, _season,
@@ -228,15 +244,15 @@ def _reports() -> Iterable[Report]:
             yield add(
                 f"team_{team.lower()}_{'worst' if worst else 'best'}_30",
                 f"{'Bottom' if worst else 'Top'} 30 careers of {team} players", CAREER, _career,
-                lambda b, t=team, w=worst: groups.group_career_leaders(b.lines, t, 30, worst=w),
+                lambda b, t=team, w=worst: groups.group_career_leaders(b.lines, t, 30, worst=w, places=2),
             )
     yield add(
         "team_bos_best", "Careers of BOS players, best first", CAREER, _career,
-        lambda b: groups.group_career_leaders(b.lines, "BOS"),
+        lambda b: groups.group_career_leaders(b.lines, "BOS", places=2),
     )
     yield add(
         "team_bos_worst", "Careers of BOS players, worst first", CAREER, _career,
-        lambda b: groups.group_career_leaders(b.lines, "BOS", worst=True, group_order="season"),
+        lambda b: groups.group_career_leaders(b.lines, "BOS", worst=True, group_order="season", places=2),
     )
     yield add(
         "best_rosters", "Top 1000 rosters by career WAR", ROSTERS, _rosters, lambda b: groups.best_rosters(b.lower_lines, 1000)
@@ -258,7 +274,7 @@ def _reports() -> Iterable[Report]:
             yield add(
                 f"best_{k}_seasons" + (f"_since_{since}" if since else ""),
                 f"Top 50 by best {k} seasons" + (f", careers reaching {since}" if since else ""), CAREER, _career,
-                lambda b, k=k, s=since: ranking.best_k_periods(b.lines, k, 50, since=s),
+                lambda b, k=k, s=since: ranking.best_k_periods(b.lines, k, 50, since=s, places=2),
             )
     for threshold in range(5, 15):
         yield add(
@@ -276,10 +292,10 @@ def _reports() -> Iterable[Report]:
             f"low_peak_over_{floor}", f"20 lowest best seasons among careers over {floor} WAR", PEAK, _peak,
             lambda b, f=floor, t=tie: ranking.low_peak_over_floor(b.lines, f, 20, tie=t),
         )
-    yield add("costly_careers", "20 careers with most salary per WAR above the lowest", CAREER_COST, _career, lambda b: value.cost_per_value(b.lines, 20))
+    yield add("costly_careers", "20 careers with most salary per WAR above the lowest", CAREER_COST, _career, lambda b: value.cost_per_value(b.lines, 20, zero_base="first"))
     yield add(
         "costly_careers_active", "20 active careers with most salary per WAR above the lowest", CAREER_COST, _career,
-        lambda b: value.cost_per_value(b.lines, 20, active_in=b.all_lines),
+        lambda b: value.cost_per_value(b.lines, 20, active_in=b.all_lines, zero_base="first"),
     )
     yield add("costly_careers_negative", "20 best-paid careers with negative WAR", CAREER_COST, _career, lambda b: value.costly_negative(b.lines, 20))
     yield add("costly_seasons", "20 best-paid seasons", SEASON_COST, _season, lambda b: value.costly_periods(b.lines, 20))
@@ -290,7 +306,7 @@ def _reports() -> Iterable[Report]:
         )
     yield add(
         "costly_seasons_per_war", "20 seasons with most salary per WAR above the lowest", SEASON_COST, _season,
-        lambda b: value.cost_per_value(b.lines, 20, level="period"),
+        lambda b: value.cost_per_value(b.lines, 20, level="period", zero_base="first"),
     )
     for level, layout, shape in (("career", CAREER_COST, _career), ("period", SEASON_COST, _season)):
         for since in (None, MODERN, 2000):
@@ -304,16 +320,16 @@ def _reports() -> Iterable[Report]:
         lambda b: value.value_per_cost(b.lines, 20, active_in=b.all_lines),
     )
     for name, pattern in (("contains_war", "%war%"), ("starts_babe", "babe %"), ("starts_cecil", "cecil %")):
-        yield add(f"name_{name}", f"Careers by name: {pattern}", CAREER, _career, lambda b, p=pattern: leaders.search_names(b.lines, p))
+        yield add(f"name_{name}", f"Careers by name: {pattern}", CAREER, _career, lambda b, p=pattern: leaders.search_names(b.lines, p, places=2))
     for year, team in ((1928, "PHA"), (1959, "MLN"), (1996, "CLE"), (2005, "NYY")):
         yield add(
             f"roster_{year}_{team.lower()}", f"Careers of the {year} {team} roster", CAREER, _career,
-            lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y),
+            lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y, places=2),
         )
     for year, team in ((1928, "PHA"), (2005, "NYY")):
         yield add(
             f"roster_{year}_{team.lower()}_concise", f"Careers of the {year} {team} roster, concise", ROSTER_CONCISE,
-            _renamed(name="name", war="rounded"), lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y, concise=True),
+            _renamed(name="name", war="rounded"), lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y, concise=True, places=2),
         )
     for year in (2019, 2022):
         for team in ("BOS", "NYY", "OAK"):
@@ -403,7 +419,7 @@ def _reports() -> Iterable[Report]:
         "team_all_stars", "Average WAR of each team's All-Star seasons", TEAM_ALL_STARS,
         _renamed(team="group_name", all_stars="times", average="average"),
         lambda b: awards.group_award_average(
-            b.lines, b.awards, "All-Star", since=ALL_STAR, groups=b.teams, pair_sources=True, places=2
+            b.major_lines, b.awards, "All-Star", since=ALL_STAR, groups=b.teams, pair_sources=True, places=2
         ),
     )
     yield add(

@@ -6,12 +6,13 @@ columns out.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pennant.operators import enrich
+from pennant.plans.catalog import Book
 from pennant.sources import read_crosswalk, read_csv, read_game_log, write_table
 
 # --- Fixed values: column names of the public files ---------------------------------------------
@@ -113,9 +114,5 @@ def build_tables(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
         ),
     )
     put("war_daily_pitch", enrich.enrich_b(pitch, events=events, stats=pitching, awards=award_lists))
+    put("stints", Book.open(spark, out, awards=False, teams=False, stints=False).roll_up())
     return written
-
-
-def present(inputs: Inputs) -> list[str]:
-    """Names of the inputs that are given."""
-    return [f.name for f in fields(inputs) if getattr(inputs, f.name) is not None]

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # line number = file number * 2^36 + row in the file; it stays below 2^60 up to 16 million files
 ROWS_PER_FILE_BITS = 36
-# A file list up to this length (about 200 bytes a name) is sent to every executor.
-BROADCAST_FILES = 500_000
 
 
 def read_facts(
@@ -33,21 +30,15 @@ def number_lines(df: DataFrame, alias: str = "line_no") -> DataFrame:
     ``df`` must be a plain Parquet scan. The number comes from the scan's own row index, so there is
     no global sort or window. It keeps its value under pushed-down filters.
     """
-    # the scan writes local paths with one slash, the listing with three
-    files = sorted(re.sub("^file:/+", "file:/", f) for f in df.inputFiles())
-    row = F.col("_metadata.row_index") + 1
-    if len(files) <= 1:
-        return df.select("*", row.cast("long").alias(alias))
-    spark = df.sparkSession
-    numbers = spark.createDataFrame(list(enumerate(files)), "_file_no long, _file string")
-    if len(files) <= BROADCAST_FILES:
-        numbers = F.broadcast(numbers)
+    row = (F.col("_metadata.row_index") + 1).cast("long")
     tagged = df.select("*", row.alias("_row"), F.col("_metadata.file_path").alias("_path"))
-    known = F.coalesce("_file_no", F.raise_error(F.concat(F.lit("file not in listing: "), F.col("_path"))).cast("long"))
+    # one row per file, from a scan that reads no column; Spark decides by its size how the names meet the rows
+    names = df.select(F.col("_metadata.file_path").alias("_path")).distinct()
+    files = names.select("_path", (F.row_number().over(Window.orderBy("_path")) - 1).cast("long").alias("_file_no"))
     return (
-        tagged.join(numbers, F.col("_path") == F.col("_file"), "left")
-        .withColumn(alias, F.shiftleft(known, ROWS_PER_FILE_BITS) + F.col("_row"))
-        .drop("_row", "_path", "_file", "_file_no")
+        tagged.join(files, "_path")
+        .withColumn(alias, F.shiftleft("_file_no", ROWS_PER_FILE_BITS) + F.col("_row"))
+        .drop("_row", "_path", "_file_no")
     )
 
 
@@ -61,9 +52,10 @@ def read_csv(
     """CSV with a header; ``null_value`` text is read as null. Give a schema to skip the inference scan.
 
     With a schema, columns are still matched by header name: the file may have them in any order and
-    may have more.
+    may have more. Files that are read together must have one header; a file with another one is an error.
+    ``line_no`` numbers the lines of a single file.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     if schema is None:
@@ -86,9 +78,12 @@ def read_csv(
 def number_text_lines(df: DataFrame, alias: str = "line_no") -> DataFrame:
     """Line order for one text file: rows keep the order in which the file's splits are read.
 
-    The splits of a single file are planned in offset order, so the increasing id follows the file.
+    The splits of a single file are planned in offset order, so the increasing id follows the file. Several files
+    are planned by size, so they are refused: number them one by one, or as Parquet with ``number_lines``.
     Write the numbered frame to Parquet once and read that afterwards.
     """
+    if len(df.inputFiles()) > 1:
+        raise ValueError("line numbers of text follow a single file; give one file at a time")
     return df.select("*", (F.monotonically_increasing_id() + 1).alias(alias))
 
 
@@ -125,29 +120,27 @@ FIELDS_PER_SLOT = 3
 def read_game_log(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Starters of a headerless game log as (id, period, code) rows. Short records are dropped."""
     names = [f"f{i}" for i in range(GAME_LOG_FIELDS)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("_bad", T.StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .option("columnNameOfCorruptRecord", "_bad")
-        .option("mode", "PERMISSIVE")
-        .option("quote", '"')
-        .csv(path)
-    )
-    # A short record leaves its missing tail null; longer ones are cut to the schema, which is harmless.
-    enough = F.col(names[-1]).isNotNull() | F.col("_bad").isNull()
+    line = F.col("value")
+    # commas outside quotes divide the fields; longer records are cut to the fields that are named
+    fields = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ",", -1))
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    games = spark.read.text(path).where(fields >= GAME_LOG_FIELDS).select(F.from_csv(line, schema.simpleString()[7:-1].replace(":", " ")).alias("game")).select("game.*")
     period = F.substring(F.trim("f0"), 1, 4).try_cast("int")
     slots = [
         (names[start + FIELDS_PER_SLOT * i], names[start + FIELDS_PER_SLOT * i + 2])
         for start in LINEUP_STARTS
         for i in range(SLOTS_PER_LINEUP)
     ]
-    games = raw.where(enough).withColumn("period", period).where(F.col("period").isNotNull())
+    games = games.withColumn("period", period).where(F.col("period").isNotNull())
     return unpivot_slots(games, ["period"], slots).select("id", "period", "code")
 
 
 def read_crosswalk(spark: SparkSession, path: str | list[str], from_column: str, to_column: str) -> DataFrame:
-    """Two id columns of a sharded register, by header name; rows with a blank id are dropped."""
-    return crosswalk(spark.read.option("header", True).csv(path), from_column, to_column)
+    """Two id columns of a sharded register, by header name; rows with a blank id are dropped.
+
+    Shards whose headers differ are an error, never read by position.
+    """
+    return crosswalk(spark.read.option("header", True).option("enforceSchema", False).csv(path), from_column, to_column)
 
 
 def crosswalk(df: DataFrame, from_column: str, to_column: str) -> DataFrame:

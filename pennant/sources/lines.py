@@ -29,6 +29,14 @@ class Roles:
     line_no: str = "line_no"
 
 
+def _exact(c: Column, kind: str) -> Column:
+    """``c`` in an exact type; a value that would lose digits or does not fit is an error."""
+    held = c.try_cast(kind)
+    kept = c.isNull() | held.cast("double").eqNullSafe(c.cast("double"))
+    lost = F.concat(F.lit(f"measure is no {kind}: "), c.cast("string"))
+    return F.when(kept, held).otherwise(F.raise_error(lost).cast(kind))
+
+
 def as_lines(
     df: DataFrame,
     roles: Roles,
@@ -43,8 +51,11 @@ def as_lines(
     """Rename a source's columns to their roles, and keep the lines that count.
 
     ``measure_type`` should be an exact type (``long``, ``decimal(12,4)``): then every sum is the same
-    in any order and can be combined map-side. ``where`` is a user filter on the source's own columns.
+    in any order and can be combined map-side; a measure that it cannot hold stops the job. ``source`` is below
+    ``MAX_SOURCES``. ``where`` is a user filter on the source's own columns.
     """
+    if isinstance(source, int) and not 0 <= source < MAX_SOURCES:
+        raise ValueError(f"source must be from 0 to {MAX_SOURCES - 1}")
     if where is not None:
         df = df.where(where)
     if leagues is not None:
@@ -55,6 +66,11 @@ def as_lines(
     if fold_group is not None:
         group = {"upper": F.upper, "lower": F.lower}[fold_group](group)
     measure = F.col(roles.measure)
+    if measure_type is not None:
+        measure = _exact(measure, measure_type)
+    if not isinstance(source, int):
+        known = source.isNull() | source.between(0, MAX_SOURCES - 1)
+        source = F.when(known, source).otherwise(F.raise_error(F.lit(f"source must be from 0 to {MAX_SOURCES - 1}")).cast("int"))
     return df.select(
         F.col(roles.entity).alias("entity"),
         F.col(roles.name).alias("name"),
@@ -63,7 +79,7 @@ def as_lines(
         (F.col(roles.league) if roles.league else F.lit(None).cast("string")).alias("league"),
         (F.lit(source) if isinstance(source, int) else source).cast("int").alias("source"),
         F.col(roles.line_no).cast("long").alias("line_no"),
-        (measure.cast(measure_type) if measure_type else measure).alias("measure"),
+        measure.alias("measure"),
         (F.coalesce(F.col(roles.cost).cast("long"), F.lit(0)) if roles.cost else F.lit(0)).cast("long").alias("cost"),
         (F.col(roles.category) if roles.category else F.lit(None).cast("string")).alias("category"),
     )

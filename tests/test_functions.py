@@ -22,18 +22,20 @@ def test_ordered_sum_is_the_left_fold_per_block(spark):
             acc = v if acc is None else acc + v
         return acc
 
-    for block in (1 << 16, 100, 7):
-        expect = {}
-        for key in ("a", "b"):
-            level = [(o, x) for k, o, x in rows if k == key]
-            for _ in range(2):
-                blocks = {}
-                for o, x in level:
-                    blocks.setdefault(o // block, []).append(x)
-                level = [(b, fold(blocks[b])) for b in sorted(blocks)]
-            expect[key] = fold([x for _, x in level])
-        got = {r.k: r.total for r in ordered_sum(df, ["k"], "x", "o", block=block).collect()}
-        assert got == expect
+    expect = {key: fold([x for k, o, x in sorted(rows, key=lambda r: r[1]) if k == key]) for key in ("a", "b")}
+    got = {r.k: r.total for r in ordered_sum(df, ["k"], "x", "o").collect()}
+    assert got == expect
+
+
+def test_ordered_sum_has_no_edges(spark):
+    """The plain left fold wherever the line numbers lie, and over several partitions."""
+    values = [0.1, 0.2, -0.3, 1e16, 1.0, -1e16]
+    for first in (1, 65_533, 131_070, (1 << 36) - 2):
+        df = spark.createDataFrame([("k", first + i, x) for i, x in enumerate(values)] + [("n", 5, None)], "k string, o long, x double").repartition(3)
+        total = 0.0
+        for i, x in enumerate(values):
+            total = x if i == 0 else total + x
+        assert [(r.k, r.total) for r in ordered_sum(df, ["k"], "x", "o").collect()] == [("k", total)]
 
 
 def test_numbered_matches_a_plain_sort(spark):
