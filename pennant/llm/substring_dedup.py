@@ -25,6 +25,8 @@ LENGTH, PIECE = 400, 64
 SPAN = LENGTH - PIECE + 1  # pieces of a string
 SORT_BYTES = 200_000  # of segments that are sorted at once
 GROUP = 250  # different segments of an anchor that are sorted together
+BLOCK_BYTES = 2 << 20  # of segments whose strings are hashed together
+BUCKET_STRINGS = 400_000  # hashes that meet in one bucket
 SEEN = 1 << 18  # texts or segments that a task remembers, to skip copies
 FILTER = 1 << 26  # bits of the filter of texts that are fetched: 8 MB
 
@@ -251,15 +253,76 @@ def _sorted_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield settle(held)
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each string of a segment by hash: (content, at, one, two)."""
-    for b in batches:
-        for key, data in zip(b.column("content").to_pylist(), b.column("bytes").to_pylist()):
-            n = len(data) - LENGTH + 1
-            got = np.frombuffer(b"".join(hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest() for i in range(n)), np.int64).reshape(n, 2)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * n, pa.binary()), pa.array(np.arange(n, dtype=np.int32)), pa.array(got[:, 0].copy()), pa.array(got[:, 1].copy())], ["content", "at", "one", "two"]
-            )
+def digests(data: bytes) -> bytes:
+    """16 bytes per string of a segment."""
+    return b"".join(hashlib.blake2b(data[i : i + LENGTH], digest_size=16).digest() for i in range(len(data) - LENGTH + 1))
+
+
+def _numbers(hashes: bytes) -> tuple[np.ndarray, int]:
+    """Equal hashes get equal numbers; and how many numbers there are."""
+    h = np.frombuffer(hashes, np.uint64).reshape(-1, 2)
+    order = np.lexsort((h[:, 1], h[:, 0]))
+    first = np.ones(len(h), bool)
+    first[1:] = (h[order[1:]] != h[order[:-1]]).any(axis=1)
+    number = np.empty(len(h), np.int64)
+    number[order] = np.cumsum(first) - 1
+    return number, int(first.sum())
+
+
+def _hashed_spans(segments: DataFrame, n_bytes: int, n_strings: int) -> DataFrame:
+    """(content, lo, hi): the runs of repeated strings of distinct segments, by hash.
+
+    Segments are dealt to blocks of bounded size. A block gives each bucket its distinct hashes in one row, so a string
+    that very many segments hold reaches its bucket once per block. The bucket answers a block with those that repeat,
+    and the block marks them on its segments.
+    """
+    blocks, buckets = -(-n_bytes // BLOCK_BYTES), -(-n_strings // BUCKET_STRINGS)
+
+    def give(table: pa.Table) -> pa.Table:
+        hashes = b"".join(digests(c) for c in table.column("bytes").to_pylist())
+        number, n = _numbers(hashes)
+        one = np.empty((n, 2), np.uint64)
+        one[number] = np.frombuffer(hashes, np.uint64).reshape(-1, 2)
+        twice = np.bincount(number, minlength=n) > 1
+        bucket = (one[:, 0] % U(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        one, twice, bucket = one[order], twice[order], bucket[order]
+        cut = np.concatenate([np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), [n]]).tolist()
+        pieces = list(zip(cut[:-1], cut[1:]))
+        return pa.table(
+            {
+                "bucket": bucket[cut[:-1]], "block": pa.array([table.column("block")[0].as_py()] * len(pieces), pa.int64()),
+                "hashes": pa.array([one[a:b].tobytes() for a, b in pieces], pa.binary()), "twice": pa.array([twice[a:b].tobytes() for a, b in pieces], pa.binary()),
+            }
+        )
+
+    def answer(table: pa.Table) -> pa.Table:
+        given = table.column("hashes").to_pylist()
+        hashes = b"".join(given)
+        number, n = _numbers(hashes)
+        held = np.bincount(number, minlength=n) + np.bincount(number, np.frombuffer(b"".join(table.column("twice").to_pylist()), bool), n)
+        again = held[number] > 1
+        h = np.frombuffer(hashes, np.uint64).reshape(-1, 2)
+        edge = np.cumsum([0] + [len(g) // 16 for g in given]).tolist()
+        found = [h[a:b][again[a:b]].tobytes() for a, b in zip(edge[:-1], edge[1:])]
+        return pa.table({"block": table.column("block"), "hashes": pa.array(found, pa.binary())}).filter(pa.array([bool(f) for f in found], pa.bool_()))
+
+    def mark(own: pa.Table, answers: pa.Table) -> pa.Table:
+        again = b"".join(answers.column("hashes").to_pylist())
+        contents = [digests(c) for c in own.column("bytes").to_pylist()]
+        number, n = _numbers(again + b"".join(contents))
+        marked = np.zeros(n, bool)
+        marked[number[: len(again) // 16]] = True
+        flags = marked[number[len(again) // 16 :]]
+        edge = np.cumsum([0] + [len(c) // 16 for c in contents]).tolist()
+        out = [(k, lo, hi) for k, a, b in zip(own.column("content").to_pylist(), edge[:-1], edge[1:]) for lo, hi in runs(flags[a:b])]
+        columns = list(zip(*out)) or [[]] * 3
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int32(), pa.int32()))], ["content", "lo", "hi"])
+
+    dealt = segments.withColumn("block", F.pmod(F.xxhash64("content"), F.lit(blocks)).cast("long"))
+    given = dealt.groupBy("block").applyInArrow(give, "bucket long, block long, hashes binary, twice binary")
+    answers = given.groupBy("bucket").applyInArrow(answer, "block long, hashes binary")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(mark, SPANS)
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,14 +369,13 @@ def repeats(docs: DataFrame, space: Space, text_col: str = "text") -> tuple[Data
     # equal segments collapse; those of several places repeat as a whole
     equal = cut.groupBy("anchor", "content").agg(F.min(where).alias("lo"), F.max(where).alias("hi"), F.first("strings").alias("strings"))
     equal = space.write(equal.select("anchor", "content", "strings", (F.col("lo") != F.col("hi")).alias("several")), "equal")
-    sizes = equal.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = equal.groupBy("anchor").agg(F.count(F.lit(1)).alias("size"), F.sum("strings").alias("strings")).where("size > 1")
     left = cut.where("bytes IS NOT NULL").select("anchor", "content", "bytes").join(sizes, "anchor")
     few = left.where(F.col("size") <= GROUP).select("anchor", "content", "bytes")
     few = few.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sorted_spans, SPANS)
-    many = left.where(F.col("size") > GROUP).dropDuplicates(["content"]).select("content", "bytes").mapInArrow(_strings, "content binary, at int, one long, two long")
-    place = F.xxhash64("content", "at")
-    again = many.groupBy("one", "two").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("one", "two")
-    many = many.join(again, ["one", "two"], "left_semi").select("content", F.col("at").alias("lo"), (F.col("at") + 1).alias("hi"))
+    many = space.write(left.where(F.col("size") > GROUP).dropDuplicates(["content"]).select("content", "bytes"), "many")
+    size, strings = sizes.where(F.col("size") > GROUP).agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("strings"), F.lit(0))).first()
+    many = _hashed_spans(many, max(1, strings + size * (LENGTH - 1)), max(1, strings))
     whole = equal.where("several").select("content", F.lit(0).alias("lo"), F.col("strings").alias("hi"))
     spans = space.write(
         whole.union(few).union(many).groupBy("content").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans"

@@ -166,7 +166,9 @@ def brute_removed(rows):
 def test_substring_dedup(spark, group, monkeypatch):
     from pennant.llm import substring_dedup as module
 
-    monkeypatch.setattr(module, "GROUP", group)  # 2: nearly all anchors are settled by hash
+    monkeypatch.setattr(module, "GROUP", group)  # 2: nearly all anchors are settled by hash, in many blocks and buckets
+    monkeypatch.setattr(module, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(module, "BUCKET_STRINGS", 100)
     rng = random.Random(8)
 
     def noise(n):
