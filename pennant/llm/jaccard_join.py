@@ -6,8 +6,8 @@ matrix, and of those only shingles that several nodes hold.
 
 Similar nodes are partitioned into groups: nodes with the same smallest hash are checked against their group's
 leader, and what links up is a group (large ones are split). The matrix holds each group's union of first shingles.
-A node's overlap with a union bounds its overlap with every member; only groups that reach the bound are opened,
-and only groups it is not yet linked with. Opened pairs are checked on their whole sets, so no link is lost.
+Where a node meets a union, the places of the shingle bound its overlap with every member; only groups that reach
+the bound are opened, and only groups it is not yet linked with. Opened pairs are checked on their whole sets, so no link is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pennant.llm.common import Space, components, numbered
 from pennant.llm.words import U, chunks, mix, shingle_sets
 
 NUMERATOR, DENOMINATOR = 75, 100  # linked: 100 * intersection >= 75 * union
-SHARED = 4  # first shingles that linked sets must share
+SHARED = 1  # first shingles that linked sets must share; one keeps the first shingles few and rare
 SKETCH = 1 << 20  # counters; 4 MB are sent to every task
 SKETCH_BLOCK = 1 << 14
 GROUP = 64  # nodes of a group at most, but for unevenly dealt ones
