@@ -7,7 +7,9 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -35,7 +37,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Space:
-    """Scratch tables of one operator call. ``with`` deletes them at its end, but for those written with ``keep``."""
+    """Scratch tables of one operator call. ``with`` deletes them at its end; those written with ``keep``, which a
+    result still reads, go when the application ends."""
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.own = spark, []
@@ -46,15 +49,21 @@ class Space:
     def write(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
         path = f"{shared_folder(self.spark)}/pennant-{name}-{uuid.uuid4().hex}"
         df.write.option("compression", "zstd").parquet(path)
-        if not keep:
+        if keep:
+            at, system = self._at(path)
+            system.deleteOnExit(at)
+        else:
             self.own.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _at(self, path: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def __exit__(self, *failure: object) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for path in self.own:
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            at, system = self._at(path)
+            system.delete(at, True)
 
 
 def numbered(df: DataFrame, name: str = "row") -> DataFrame:
@@ -62,6 +71,52 @@ def numbered(df: DataFrame, name: str = "row") -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(name), F.struct("*").alias("whole"))
 
 
+def key_of(column: Column) -> Column:
+    """Text as a key that is never null and sorts like it, null first."""
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
+
+
+def before(df: DataFrame, by: Sequence[str], key: str, value: str, bits: Sequence[int]) -> DataFrame:
+    """Add ``start``, the sum of ``value`` over the rows of the same ``by`` with a smaller ``key``, and ``total``, the
+    sum over all of them. ``df`` is a written table with distinct keys, ``key`` a long.
+
+    No group is ordered as a whole: a directory holds the sums of the keys that agree but for their last ``bits``, the
+    next directory the sums of those, and so on. A window sees 2**bits rows at most, and the last one the keys that are
+    left after all shifts.
+    """
+    levels, here = [], df
+    for b in bits:
+        run = Window.partitionBy(*by, "_parent").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        here = here.withColumn("_parent", F.shiftright(key, b))
+        here = here.withColumn("_before", F.coalesce(F.sum(value).over(run), F.lit(0)))
+        levels.append(here)
+        here = here.groupBy(*by, "_parent").agg(F.sum(value).alias(value)).withColumnRenamed("_parent", key)
+    run = Window.partitionBy(*by).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    above = here.select(
+        *by, F.col(key).alias("_parent"), F.coalesce(F.sum(value).over(run), F.lit(0)).alias("start"),
+        F.sum(value).over(Window.partitionBy(*by)).alias("total"),
+    )
+    for i, level in enumerate(reversed(levels)):
+        own = [c for c in level.columns if c not in ("_parent", "_before")] if i == len(levels) - 1 else [*by, F.col(key).alias("_parent")]
+        above = level.withColumnRenamed("_parent", "_up").join(above.withColumnRenamed("_parent", "_up"), [*by, "_up"]).select(
+            *own, (F.col("_before") + F.col("start")).alias("start"), "total"
+        )
+    return above
+
+
+RUN = 1 << 16
+
+
+def repeated(df: DataFrame, times: str, place: str) -> DataFrame:
+    """Each row ``times`` times, numbered from 0 in ``place``; a row with very many copies is dealt out in runs."""
+    one = df.where(F.col(times) <= RUN).withColumn(place, F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1)))
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / RUN)))
+    last = F.least(F.col(times), (F.col("_run") + 1) * RUN) - 1
+    many = df.where(F.col(times) > RUN).withColumn("_run", run)
+    many = many.repartition(*[c for c in many.columns]).withColumn(place, F.explode(F.sequence(F.col("_run") * RUN, last)))
+    return one.unionByName(many.drop("_run"))
+
+
 def fold(text: Column) -> Column:
     """A-Z, and no other letter, in lower case."""
     return F.translate(text, UPPER, LOWER)

@@ -13,6 +13,7 @@ from pennant.llm.html_extract import extract
 from pennant.llm.jaccard_join import jaccard_components
 from pennant.llm.language_id import languages
 from pennant.llm.lm_score import lm_scores
+from pennant.llm.merkle_manifest import tampered_manifest
 from pennant.llm.quality import quality
 from pennant.llm.sentencepiece_codec import load, round_trips
 from pennant.llm.substring_dedup import substring_dedup
@@ -72,9 +73,16 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tampered_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_jaccard_join, op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_quality, op8_url_filter, op9_lm_score, op10_html_extract)
+    for f in (
+        op1_jaccard_join, op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_quality,
+        op8_url_filter, op9_lm_score, op10_html_extract, op13_merkle_manifest,
+    )
 }
 
 ORACLE = {
@@ -122,4 +130,51 @@ ORACLE = {
             WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
             ORDER BY length(h || p) DESC LIMIT 1
         ) ON true""",
+    "op13_merkle_manifest": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab
+        ), d AS (
+            SELECT *, row_number() OVER () AS rid, coalesce('=' || source, '') AS f,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+            FROM documents
+        ), l AS (
+            SELECT rid, doc_id, f, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                                             lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0
+                        THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS altered
+            FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM d), crc
+        ), p AS (
+            SELECT *, row_number() OVER (PARTITION BY f ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY f) AS n FROM l
+        ), t(f, n, lvl, pos, digest) AS (
+            SELECT f, n, 0, pos, leaf FROM p
+            UNION ALL
+            SELECT f, n, lvl + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM t WHERE n > 16 ** lvl GROUP BY f, n, lvl, pos // 16
+        ), s AS (
+            SELECT f, lvl AS depth, digest AS subroot, row_number() OVER (ORDER BY f) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n <= 16 ** lvl
+        ), u(n, lvl, pos, digest) AS (
+            SELECT n, 0, pos, subroot FROM s
+            UNION ALL
+            SELECT n, lvl + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM u WHERE n > 16 ** lvl GROUP BY n, lvl, pos // 16
+        ), r AS (SELECT digest AS root FROM u WHERE n <= 16 ** lvl),
+        sib AS (
+            SELECT rid, t.lvl, t.pos, t.digest, t.pos < p.pos // (16 ** t.lvl)::BIGINT AS before, t.pos = p.pos // (16 ** t.lvl)::BIGINT AS self
+            FROM p JOIN t ON t.f = p.f AND t.n > 16 ** t.lvl AND t.pos // 16 = p.pos // (16 ** (t.lvl + 1))::BIGINT
+            UNION ALL
+            SELECT rid, 100 + u.lvl, u.pos, u.digest, u.pos < s.pos // (16 ** u.lvl)::BIGINT, u.pos = s.pos // (16 ** u.lvl)::BIGINT
+            FROM p JOIN s USING (f) JOIN u ON u.n > 16 ** u.lvl AND u.pos // 16 = s.pos // (16 ** (u.lvl + 1))::BIGINT
+        ), side AS (
+            SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY lvl) AS step,
+                   coalesce(string_agg(digest, '' ORDER BY pos) FILTER (before), '') AS a,
+                   coalesce(string_agg(digest, '' ORDER BY pos) FILTER (NOT before AND NOT self), '') AS b
+            FROM sib GROUP BY rid, lvl
+        ), up(rid, step, got) AS (
+            SELECT rid, 0, coalesce(altered, leaf) FROM p
+            UNION ALL
+            SELECT up.rid, up.step + 1, sha256(a || got || b) FROM up JOIN side ON side.rid = up.rid AND side.step = up.step + 1
+        ), last AS (SELECT rid, arg_max(got, step) AS folded_root FROM up GROUP BY rid),
+        proof AS (SELECT rid, sha256(string_agg(a || b, '' ORDER BY step)) AS proof_sha256 FROM side GROUP BY rid)
+        SELECT p.doc_id, p.leaf, s.subroot, r.root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = r.root AS verified
+        FROM p JOIN s USING (f) JOIN last USING (rid) LEFT JOIN proof USING (rid), r""",
 }
