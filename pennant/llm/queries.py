@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pennant.llm.common import ship_code
 from pennant.llm.decontaminate import contaminated
+from pennant.llm.entropy_mix import mix
 from pennant.llm.exact_dedup import exact_groups
 from pennant.llm.html_extract import extract
 from pennant.llm.jaccard_join import jaccard_components
@@ -73,6 +74,10 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_manifest(table(spark, sf_dir, "documents"))
 
@@ -81,7 +86,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_jaccard_join, op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_quality,
-        op8_url_filter, op9_lm_score, op10_html_extract, op13_merkle_manifest,
+        op8_url_filter, op9_lm_score, op10_html_extract, op11_entropy_mix, op13_merkle_manifest,
     )
 }
 
