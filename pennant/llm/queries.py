@@ -18,9 +18,11 @@ from pennant.llm.merkle_manifest import tampered_manifest
 from pennant.llm.quality import quality
 from pennant.llm.sentencepiece_codec import load, round_trips
 from pennant.llm.substring_dedup import substring_dedup
+from pennant.llm.token_alignment import align
 from pennant.llm.url_filter import rule_table, url_verdicts
 
 SENTENCEPIECE_MODEL = os.environ.get("PENNANT_SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+BYTE_LEVEL_FILE = os.environ.get("PENNANT_BYTE_LEVEL_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
 # The listed rules.
 URL_RULES = [
@@ -34,6 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _file(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -78,6 +85,10 @@ def op11_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), _file(BYTE_LEVEL_FILE), _file(SENTENCEPIECE_MODEL))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_manifest(table(spark, sf_dir, "documents"))
 
@@ -86,7 +97,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_jaccard_join, op2_decontaminate, op3_exact_dedup, op4_sentencepiece, op5_substring_dedup, op6_language_id, op7_quality,
-        op8_url_filter, op9_lm_score, op10_html_extract, op11_entropy_mix, op13_merkle_manifest,
+        op8_url_filter, op9_lm_score, op10_html_extract, op11_entropy_mix, op12_token_alignment,
+        op13_merkle_manifest,
     )
 }
 
