@@ -12,7 +12,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if named is None and not sc.master.startswith("local"):
+        if named is None and not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="pennant-checkpoint-"))
 

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# line number = file number * 2^36 + row in the file; it stays below 2^60 up to 16 million files
-ROWS_PER_FILE_BITS = 36
+from pennant.sources.checkpoints import cut_lineage
+
+# line number = file number * 2^32 + row in the file; it stays below 2^60 up to 2^28 files
+ROWS_PER_FILE_BITS = 32
+MOST_FILES = 1 << 28
+# A listing of this many bytes is still sent to every task.
+LISTING_BYTES = 64 << 20
 
 
 def read_facts(
@@ -24,21 +31,47 @@ def read_facts(
     return number_lines(df, line_no) if line_no else df
 
 
+def listed_files(df: DataFrame) -> list[str]:
+    """The files of a plain scan by name, spelled as the scan's own metadata spells them."""
+    files = sorted(re.sub("^file:///", "file:/", f) for f in df.inputFiles())
+    if len(files) > MOST_FILES:
+        raise ValueError(f"more than {MOST_FILES} files")
+    return files
+
+
+def with_file_number(df: DataFrame, files: list[str], path: str, alias: str) -> DataFrame:
+    """Add the place of the file named in column ``path`` among ``files``, from 0.
+
+    The driver listed the files to plan the scan, so their order costs no job and no window: a single file is a
+    constant, more are a local table of the listing's size, joined to the rows (and sent to every task while small).
+    A file that is not listed is an error.
+    """
+    if len(files) <= 1:
+        return df.withColumn(alias, F.lit(0).cast("long"))
+    listing = df.sparkSession.createDataFrame(pa.table({path: files, alias: pa.array(range(len(files)), pa.int64())}))
+    if sum(map(len, files)) <= LISTING_BYTES:
+        listing = F.broadcast(listing)
+    missing = F.raise_error(F.concat(F.lit("file was not listed: "), path)).cast("long")
+    return df.join(listing, path, "left").withColumn(alias, F.coalesce(alias, missing))
+
+
 def number_lines(df: DataFrame, alias: str = "line_no") -> DataFrame:
-    """Add the position of each row within its source.
+    """Add the position of each row within its source: by file name, then by row.
 
     ``df`` must be a plain Parquet scan. The number comes from the scan's own row index, so there is
-    no global sort or window. It keeps its value under pushed-down filters.
+    no sort, window or pass over the files. It keeps its value under pushed-down filters.
     """
     row = (F.col("_metadata.row_index") + 1).cast("long")
     tagged = df.select("*", row.alias("_row"), F.col("_metadata.file_path").alias("_path"))
-    # one row per file, from a scan that reads no column; Spark decides by its size how the names meet the rows
-    names = df.select(F.col("_metadata.file_path").alias("_path")).distinct()
-    files = names.select("_path", (F.row_number().over(Window.orderBy("_path")) - 1).cast("long").alias("_file_no"))
-    return (
-        tagged.join(files, "_path")
-        .withColumn(alias, F.shiftleft("_file_no", ROWS_PER_FILE_BITS) + F.col("_row"))
-        .drop("_row", "_path", "_file_no")
+    tagged = with_file_number(tagged, listed_files(df), "_path", "_file_no")
+    return tagged.withColumn(alias, _line_number(F.col("_row"))).drop("_row", "_path", "_file_no")
+
+
+def _line_number(row: Column) -> Column:
+    """``row`` counts from 1 within the file ``_file_no``."""
+    fits = row < (1 << ROWS_PER_FILE_BITS)
+    return F.when(fits, F.shiftleft("_file_no", ROWS_PER_FILE_BITS) + row).otherwise(
+        F.raise_error(F.lit("a file has too many rows")).cast("long")
     )
 
 
@@ -53,7 +86,7 @@ def read_csv(
 
     With a schema, columns are still matched by header name: the file may have them in any order and
     may have more. Files that are read together must have one header; a file with another one is an error.
-    ``line_no`` numbers the lines of a single file.
+    ``line_no`` numbers the lines, over all files in the order of their names.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     if null_value is not None:
@@ -76,15 +109,21 @@ def read_csv(
 
 
 def number_text_lines(df: DataFrame, alias: str = "line_no") -> DataFrame:
-    """Line order for one text file: rows keep the order in which the file's splits are read.
+    """Line order for text: by file name, then by line, for one file or many of any sizes.
 
-    The splits of a single file are planned in offset order, so the increasing id follows the file. Several files
-    are planned by size, so they are refused: number them one by one, or as Parquet with ``number_lines``.
-    Write the numbered frame to Parquet once and read that afterwards.
+    ``df`` is a plain text or CSV scan. A text file has no row index, and its splits are read in an order of the
+    planner's. So the rows are written once, each with its file, the offset of its split and a number that grows within
+    the split; the splits' counts then give the rows before each split. One row per split is all that is moved.
     """
-    if len(df.inputFiles()) > 1:
-        raise ValueError("line numbers of text follow a single file; give one file at a time")
-    return df.select("*", (F.monotonically_increasing_id() + 1).alias(alias))
+    meta = {"_path": F.col("_metadata.file_path"), "_split": F.col("_metadata.file_block_start"), "_id": F.monotonically_increasing_id()}
+    rows = cut_lineage(df.withColumns(meta))
+    splits = rows.groupBy("_path", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
+    splits = with_file_number(splits, listed_files(df), "_path", "_file_no")
+    found = rows.join(splits, ["_path", "_split"])
+    row = F.col("_ahead") + F.col("_id") - F.col("_first") + 1
+    return found.select(*df.columns, _line_number(row).alias(alias))
 
 
 def unpivot_slots(

@@ -84,7 +84,7 @@ def folder(spark, league, tmp_path_factory):
     )
     written = build_tables(spark, inputs, str(out))
     assert set(written) == {
-        "retrosheet_positions", "id_crosswalk", "lahman_positions", "awards", "hall_of_fame", "teams", "war_daily_bat", "war_daily_pitch",
+        "retrosheet_positions", "id_crosswalk", "lahman_positions", "awards", "hall_of_fame", "teams", "war_daily_bat", "war_daily_pitch", "stints",
     }
     return str(out)
 
@@ -190,7 +190,7 @@ def test_nulls_print_as_blank(spark, book):
 def test_only_the_line_files(spark, league, tmp_path):
     bat, pitch = league
     inputs = Inputs(_write(tmp_path / "b.txt", LINE, bat), _write(tmp_path / "p.txt", LINE, pitch))
-    assert build_tables(spark, inputs, str(tmp_path / "out")) == ["war_daily_bat", "war_daily_pitch"]
+    assert build_tables(spark, inputs, str(tmp_path / "out")) == ["war_daily_bat", "war_daily_pitch", "stints"]
     book = Book.open(spark, str(tmp_path / "out"), awards=False, teams=False)
     assert set(book.bat.columns) == {*LINE, "line_no"}
     assert run_report(book, "season_leaders").count() == 10

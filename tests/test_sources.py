@@ -1,5 +1,6 @@
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from pennant.sources import (
@@ -15,6 +16,7 @@ from pennant.sources import (
     unpivot_slots,
     write_table,
 )
+from pennant.sources.files import with_file_number
 
 
 def test_line_numbers_follow_file_name_and_row(spark, tmp_path):
@@ -39,6 +41,39 @@ def test_single_file_numbers_from_one(spark, tmp_path):
     assert [(r.v, r.n) for r in df.orderBy("n").collect()] == [(5, 1), (6, 2), (7, 3)]
 
 
+def test_a_file_that_is_not_listed_is_an_error(spark, tmp_path):
+    for name in "abc":
+        pq.write_table(pa.table({"v": [1]}), tmp_path / f"{name}.parquet")
+    df = spark.read.parquet(str(tmp_path)).select("v", F.col("_metadata.file_path").alias("p"))
+    with pytest.raises(Exception, match="not listed"):
+        with_file_number(df, ["file:/elsewhere/a", "file:/elsewhere/b"], "p", "no").collect()
+
+
+def test_text_lines_are_numbered_over_files_and_splits(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    wanted = []
+    # the planner reads the largest first, and a file in several splits
+    for name, n in (("a one.csv", 3), ("b.csv", 400), ("c.csv", 0), ("d.csv", 5000), ("e.csv", 90)):
+        values = [f"{name}-{i}" for i in range(n)]
+        wanted += values
+        (folder / name).write_text("\n".join(["v,w", *[f"{v},{'x' * (i % 40)}" for i, v in enumerate(values)], ""]))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+        assert spark.read.csv(str(folder)).rdd.getNumPartitions() > 5
+        df = read_csv(spark, str(folder), "v string, w string", line_no="n")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")  # numbers stay what they are when splits change later
+        rows = df.orderBy("n").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [r.v for r in rows] == wanted and len({r.n for r in rows}) == len(wanted)
+    by_file = [r.n >> 32 for r in rows]
+    assert by_file == sorted(by_file) and rows[0].n == 1 and rows[3].n == (1 << 32) + 1
+
+
 def test_csv_null_text_and_schema_by_name(spark, tmp_path):
     f = tmp_path / "x.csv"
     f.write_text("b,a,extra\nNULL,1,z\nq,two,z\n")
