@@ -29,6 +29,12 @@ def _all(s, d):
     return t.lines(s, d, leagues=None)
 
 
+def _thick(s, d):
+    """Lines after filters that drop many more of one source than of the other, so that positions among them shift."""
+    keep = (F.col("source") == 1) | (F.col("games") > 30)
+    return t.lines(s, d, where=keep)
+
+
 def career_seasons_best(s: SparkSession, d: str) -> DataFrame:
     return leaders.career_leaders(t.lines(s, d), 100)
 
@@ -176,12 +182,16 @@ QUERIES: dict[str, Query] = {
     "t01_career_leaders_season_filter": lambda s, d: leaders.career_leaders(
         t.lines(s, d), 100, season_filter=(F.col("total") > 0) & (F.col("period") >= 1997)
     ),
+    "t01_career_leaders_kept": lambda s, d: leaders.career_leaders(_thick(s, d), 500, group_order="kept"),
+    "t01_career_leaders_places": lambda s, d: leaders.career_leaders(t.lines(s, d), 500, places=-7),
     "t02_period_leaders_top": lambda s, d: leaders.period_leaders(t.lines(s, d), 100),
     "t02_period_leaders_bottom": lambda s, d: leaders.period_leaders(t.lines(s, d), 100, worst=True),
     "t03_entity_log": lambda s, d: leaders.entity_log(t.lines(s, d), ENTITY),
     "t04_average_leaders": lambda s, d: leaders.average_leaders(t.lines(s, d)),
     "t05_group_best": lambda s, d: groups.group_career_leaders(t.lines(s, d), GROUP, 30),
     "t05_group_worst": lambda s, d: groups.group_career_leaders(t.lines(s, d), GROUP, worst=True, group_order="season"),
+    "t05_group_best_kept": lambda s, d: groups.group_career_leaders(_thick(s, d), GROUP, group_order="kept"),
+    "t05_group_worst_places": lambda s, d: groups.group_career_leaders(t.lines(s, d), GROUP, 200, worst=True, places=-7),
     "t06_best_rosters": lambda s, d: groups.best_rosters(t.lines(s, d), 100, unit=100),
     "t06_best_rosters_ranked": lambda s, d: groups.best_rosters(t.lines(s, d), 100, by="exact", unit=100, ranked=True),
     "t07_best_roster_per_group": lambda s, d: groups.best_roster_per_group(t.lines(s, d), unit=100),
@@ -197,7 +207,7 @@ QUERIES: dict[str, Query] = {
         t.lines(s, d), 30_000_000, 50, tie=("peak_period", "entity")
     ),
     "t12_cost_per_value_career": lambda s, d: value.cost_per_value(t.lines(s, d), 50),
-    "t12_cost_per_value_active": lambda s, d: value.cost_per_value(t.lines(s, d), 50, active_in=_all(s, d)),
+    "t12_cost_per_value_active": lambda s, d: value.cost_per_value(t.flagged_lines(s, d), 50),
     "t13_costly_negative": lambda s, d: value.costly_negative(t.lines(s, d), 50),
     "t14_costly_periods": lambda s, d: value.costly_periods(t.lines(s, d), 50),
     "t14_costly_periods_group": lambda s, d: value.costly_periods(t.lines(s, d), 50, GROUP),
@@ -205,12 +215,15 @@ QUERIES: dict[str, Query] = {
     "t15_cost_per_value_period_zero_first": lambda s, d: value.cost_per_value(t.lines(s, d), 50, level="period", zero_base="first"),
     "t16_value_per_cost_career": lambda s, d: value.value_per_cost(t.lines(s, d), 50),
     "t16_value_per_cost_since": lambda s, d: value.value_per_cost(t.lines(s, d), 50, since=2001),
-    "t16_value_per_cost_active": lambda s, d: value.value_per_cost(t.lines(s, d), 50, active_in=_all(s, d)),
+    "t16_value_per_cost_active": lambda s, d: value.value_per_cost(t.flagged_lines(s, d), 50),
     "t17_value_per_cost_period": lambda s, d: value.value_per_cost(t.lines(s, d), 50, level="period", since=1999),
     "t18_search_contains": lambda s, d: leaders.search_names(t.lines(s, d), "%77%"),
     "t18_search_prefix": lambda s, d: leaders.search_names(t.lines(s, d), "customer#00000001%"),
+    "t18_search_places": lambda s, d: leaders.search_names(t.lines(s, d), "%7%", places=-7),
     "t19_roster_careers": lambda s, d: groups.roster_careers(t.lines(s, d), GROUP, PERIOD),
     "t19_roster_careers_concise": lambda s, d: groups.roster_careers(t.lines(s, d), GROUP, PERIOD, concise=True, unit=100),
+    "t19_roster_careers_kept": lambda s, d: groups.roster_careers(_thick(s, d), GROUP, PERIOD, group_order="kept"),
+    "t19_roster_careers_places": lambda s, d: groups.roster_careers(t.lines(s, d), GROUP, PERIOD, places=-7),
     "t20_roster_period": lambda s, d: groups.roster_period(t.lines(s, d), GROUP, PERIOD),
     "t20_roster_period_tie_in_period": lambda s, d: groups.roster_period(t.lines(s, d), GROUP, PERIOD, tie="period"),
     "t21_retention": lambda s, d: cohorts.retention(t.lines(s, d), GROUP, 5, 2, 1995, 2001),

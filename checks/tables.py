@@ -77,6 +77,12 @@ def lines(spark: SparkSession, sf_dir: str, leagues: tuple[str, ...] | None = LE
     return as_lines(base, ROLES, F.col("source"), leagues=leagues, where=where)
 
 
+def flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines; those of the listed leagues count."""
+    base = star(spark, sf_dir).withColumn("category", F.lit(None).cast("string"))
+    return as_lines(base, ROLES, F.col("source"), leagues=LEAGUES, flag=True)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(entity, period, code) per line; the code is the part's brand number, 1 to 25."""
     part = table(spark, sf_dir, "part").select(

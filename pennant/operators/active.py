@@ -2,18 +2,30 @@
 
 Active: the entity's last period is not before the last period of source 0 as a whole (all of its
 lines, with or without a measure). Pass lines that keep null measures.
+
+The last period of source 0 goes along with each entity's roll-up, which is written once: the lines are read in one pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pennant.functions import asc_last, desc_last, ratio
 from pennant.operators.leaders import top_n
-from pennant.sources.lines import active_since
+from pennant.sources.checkpoints import cut_lineage
+
+
+def _until() -> Column:
+    return F.max(F.when(F.col("source") == 0, F.col("period"))).alias("until")
+
+
+def _active(book: DataFrame) -> DataFrame:
+    """Entities of a roll-up (last_period, until) that are active."""
+    stored = cut_lineage(book)
+    return stored.where(F.col("last_period") >= stored.agg(F.max("until")).scalar())
 
 
 def _rounded(c, places: int | None):
@@ -25,33 +37,41 @@ def active_total(lines: DataFrame, n: int, *, places: int | None = None) -> Data
     measured = F.col("measure").isNotNull()
     book = (
         lines.groupBy("entity", "name")
-        .agg(F.sum("measure").alias("total"), F.max(F.when(measured, F.col("period"))).alias("last_period"))
+        .agg(F.sum("measure").alias("total"), F.max(F.when(measured, F.col("period"))).alias("last_period"), _until())
         .groupBy("entity")
-        .agg(F.max("name").alias("name"), F.sum("total").alias("total"), F.max("last_period").alias("last_period"))
-        .where(F.col("last_period") >= active_since(lines))
+        .agg(*[F.max(c).alias(c) for c in ("name", "last_period", "until")], F.sum("total").alias("total"))
     )
-    book = book.withColumn("total", _rounded(F.col("total"), places))
+    book = _active(book).withColumn("total", _rounded(F.col("total"), places))
     return top_n(book, [desc_last("total"), asc_last("entity")], n).select("entity", "name", "total")
 
 
+def _counted(counts: Column) -> list[Column]:
+    """Total and number of the lines that count, and the last period of source 0 among all."""
+    return [F.sum(F.when(counts, F.col("measure"))).alias("total"), F.count(F.when(counts, 1)).alias("n"), _until()]
+
+
+def _seen(c: str | Column) -> Column:
+    """A value of a group in which some line counts."""
+    return F.when(F.col("n") > 0, F.col(c) if isinstance(c, str) else c)
+
+
 def active_average(
     lines: DataFrame, min_periods: int, n: int, *, leagues: Sequence[str] | None = None, places: int | None = None
 ) -> DataFrame:
     """Highest average season, at least ``min_periods`` seasons."""
-    kept = lines.where(F.col("measure").isNotNull())
+    counts = F.col("measure").isNotNull()
     if leagues is not None:
-        kept = kept.where(F.col("league").isin(list(leagues)))
+        counts = counts & F.coalesce(F.col("league").isin(list(leagues)), F.lit(False))
     book = (
-        kept.groupBy("entity", "name", "period")
-        .agg(F.sum("measure").alias("total"))
+        lines.groupBy("entity", "name", "period")
+        .agg(*_counted(counts))
         .groupBy("entity")
         .agg(
-            F.max("name").alias("name"), F.sum("total").alias("total"), F.max("period").alias("last_period"),
-            F.size(F.collect_set("period")).cast("long").alias("periods"),
+            F.max(_seen("name")).alias("name"), F.sum("total").alias("total"), F.max(_seen("period")).alias("last_period"),
+            F.size(F.collect_set(_seen("period"))).cast("long").alias("periods"), F.max("until").alias("until"),
         )
-        .where((F.col("last_period") >= active_since(lines)) & (F.col("periods") >= min_periods))
-        .withColumn("average", _rounded(ratio("total", "periods"), places))
     )
+    book = _active(book).where(F.col("periods") >= min_periods).withColumn("average", _rounded(ratio("total", "periods"), places))
     return top_n(book, [desc_last("average"), asc_last("entity")], n).select(
         "entity", "name", "periods", "average", "total"
     )
@@ -64,19 +84,17 @@ def active_low_total(
 
     ``count_per_source`` counts a season once per source it appears in; otherwise once.
     """
+    season = F.struct("source", "period") if count_per_source else F.col("period")
     book = (
-        lines.where(F.col("measure").isNotNull())
-        .groupBy("entity", "name", "period", "source")
-        .agg(F.sum("measure").alias("total"))
+        lines.groupBy("entity", "name", "period", "source")
+        .agg(*_counted(F.col("measure").isNotNull()))
         .groupBy("entity")
         .agg(
-            F.max("name").alias("name"), F.sum("total").alias("total"), F.max("period").alias("last_period"),
-            F.size(F.collect_set(F.struct("source", "period") if count_per_source else F.col("period")))
-            .cast("long").alias("periods"),
+            F.max(_seen("name")).alias("name"), F.sum("total").alias("total"), F.max(_seen("period")).alias("last_period"),
+            F.size(F.collect_set(_seen(season))).cast("long").alias("periods"), F.max("until").alias("until"),
         )
-        .where((F.col("last_period") >= active_since(lines)) & (F.col("periods") >= min_periods))
     )
-    book = book.withColumn("total", _rounded(F.col("total"), places))
+    book = _active(book).where(F.col("periods") >= min_periods).withColumn("total", _rounded(F.col("total"), places))
     return top_n(book, [asc_last("total"), asc_last("entity")], n).select(
         "entity", "name", "periods", "total", "last_period"
     )
@@ -100,14 +118,15 @@ def active_low_average(
             F.sum(F.when(first, F.col("measure"))).alias("s0"),
             F.count(F.when(second, 1)).alias("n1"),
             F.sum(F.when(second, F.col("measure"))).alias("s1"),
+            _until(),
         )
         .groupBy("entity", "period")
         .agg(
             F.max(F.when(F.col("n0") > 0, F.col("name"))).alias("name"),
             F.sum("n0").alias("n0"), F.coalesce(F.sum("s0"), F.lit(0)).alias("s0"),
-            F.sum("n1").alias("n1"), F.coalesce(F.sum("s1"), F.lit(0)).alias("s1"),
+            F.sum("n1").alias("n1"), F.coalesce(F.sum("s1"), F.lit(0)).alias("s1"), F.max("until").alias("until"),
         )
-        .where(F.col("n0") > 0)
+        .withColumn("n", F.col("n0"))
     )
     if pair_lines:
         total = F.col("s0") * F.greatest("n1", F.lit(1)) + F.col("s1") * F.col("n0")
@@ -116,11 +135,11 @@ def active_low_average(
     book = (
         per_season.groupBy("entity")
         .agg(
-            F.max("name").alias("name"), F.count(F.lit(1)).alias("periods"), F.sum(total).alias("total"),
-            F.max("period").alias("last_period"),
+            F.max("name").alias("name"), F.count(_seen("period")).alias("periods"), F.sum(_seen(total)).alias("total"),
+            F.max(_seen("period")).alias("last_period"), F.max("until").alias("until"),
         )
-        .where((F.col("last_period") >= active_since(lines)) & (F.col("periods") >= min_periods))
     )
+    book = _active(book).where(F.col("periods") >= min_periods)
     book = book.withColumn("average", _rounded(ratio("total", "periods"), places))
     if places is not None:
         book = book.withColumn("total", F.round("total", places))

@@ -4,33 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pennant.functions import asc_last, desc_last, ratio, remap
 from pennant.operators.leaders import SEASON
 from pennant.operators.ranking import numbered, top_per_group
-from pennant.operators.rollups import season_groups, seasons, stints
+from pennant.operators.rollups import season_groups, seasons, stints, whole_entities
 
 
-def top_of_rosters(lines: DataFrame, k: int, gap: int) -> DataFrame:
-    """Top ``k`` members of every (group, period) by season total, each with ``retained``: whether
-    the entity is in that group ``gap`` periods later.
+def _memberships(lines: DataFrame, gap: int, also: dict[str, Column] | None = None) -> DataFrame:
+    """(entity, period, group) with the entity's season total, its first line, and ``retained``: whether the entity
+    is in that group ``gap`` periods later.
 
     Looking ahead is a range frame over the entity's own memberships, so there is no self join.
     """
     later = Window.partitionBy("entity", "grp").orderBy("period").rangeBetween(gap, gap)
-    memberships = (
-        stints(lines, name=False)
-        .repartition("entity")
-        .select(
-            "entity", "period", "grp",
-            F.sum("total").over(Window.partitionBy("entity", "period")).alias("season_total"),
-            F.min("first_line").over(Window.partitionBy("entity")).alias("entity_line"),
-            (F.count(F.lit(1)).over(later) > 0).alias("retained"),
-        )
+    return whole_entities(stints(lines, name=False, also=also)).select(
+        "entity", "period", "grp", *(also or {}),
+        F.sum("total").over(Window.partitionBy("entity", "period")).alias("season_total"),
+        F.min("first_line").over(Window.partitionBy("entity")).alias("entity_line"),
+        (F.count(F.lit(1)).over(later) > 0).alias("retained"),
     )
-    return top_per_group(memberships, ["grp", "period"], [desc_last("season_total"), asc_last("entity_line")], k)
+
+
+def top_of_rosters(lines: DataFrame, k: int, gap: int) -> DataFrame:
+    """Top ``k`` members of every (group, period) by season total, each with ``retained``: whether
+    the entity is in that group ``gap`` periods later.
+    """
+    return top_per_group(_memberships(lines, gap), ["grp", "period"], [desc_last("season_total"), asc_last("entity_line")], k)
 
 
 def _retained_by_period(lines: DataFrame, k: int, gap: int, lo: int, hi: int) -> DataFrame:
@@ -61,12 +63,25 @@ def average_retention(
     Memberships follow renamed groups through ``aliases``. Whether a group spans ``lo..hi`` is asked of
     the codes as written in the data.
     """
-    span = lines.groupBy("grp").agg(F.min("period").alias("first"), F.max("period").alias("last"))
-    eligible = span.where((F.col("first") <= lo) & (F.col("last") >= hi) & ~F.col("grp").isin(list(exclude)))
-    renamed = lines.withColumn("grp", remap("grp", aliases or {}))
-    per_period = _retained_by_period(renamed, k, gap, lo, hi).join(eligible.select("grp"), "grp", "left_semi")
-    means = per_period.groupBy("grp").agg(ratio(F.sum("retained"), F.count(F.lit(1))).alias("average_retained"))
-    return means.orderBy(desc_last("average_retained"), asc_last("grp"))
+    # One pass over the lines: each membership also stands as a mark of its group and period, and a mark says whether the
+    # group has that code as written. Marks are trimmed like members, to k per group and period, before they are moved.
+    renamed = lines.withColumns({"_own": F.col("grp") == remap("grp", aliases or {}), "grp": remap("grp", aliases or {})})
+    members = _memberships(renamed, gap, {"own": F.bool_or("_own")})
+    mark = F.when(F.col("own"), F.lit(1))
+    both = members.withColumn("mark", F.explode(F.array_compact(F.array(F.lit(0), mark))))
+    orders = [desc_last(F.when(F.col("mark") == 0, F.col("season_total"))), asc_last(F.when(F.col("mark") == 0, F.col("entity_line")))]
+    best = top_per_group(both, ["grp", "period", "mark"], orders, k)
+    per_period = best.groupBy("grp", "period").agg(
+        F.count(F.when((F.col("mark") == 0) & F.col("retained"), 1)).alias("retained"),
+        F.max(F.when(F.col("mark") == 1, F.col("period"))).alias("own"),
+    )
+    cohort = F.col("period").between(lo, hi - gap)
+    means = per_period.groupBy("grp").agg(
+        ratio(F.sum(F.when(cohort, F.col("retained"))), F.count(F.when(cohort, 1))).alias("average_retained"),
+        F.count(F.when(cohort, 1)).alias("n"), F.min("own").alias("first"), F.max("own").alias("last"),
+    )
+    eligible = (F.col("first") <= lo) & (F.col("last") >= hi) & ~F.col("grp").isin(list(exclude)) & (F.col("n") > 0)
+    return means.where(eligible).orderBy(desc_last("average_retained"), asc_last("grp")).select("grp", "average_retained")
 
 
 def _marked_seasons(lines: DataFrame, period: int, marks: Mapping[str, tuple[str, int]]) -> DataFrame:

@@ -9,6 +9,7 @@ from pennant.functions import asc_last, desc_last, rounded_units
 from pennant.operators.leaders import CAREER, SEASON, shown, top_n
 from pennant.operators.ranking import numbered
 from pennant.operators.rollups import careers, group_totals, season_groups, seasons
+from pennant.operators.slots import slotted
 
 
 def group_career_leaders(
@@ -16,6 +17,7 @@ def group_career_leaders(
     places: int | None = None,
 ) -> DataFrame:
     """Careers of everyone who was ever in ``group``, best or worst first, sorted as printed with ``places``."""
+    lines, group_order = slotted(lines, group_order)
     book = careers(seasons(lines, by_entity=True), group_order=group_order)
     book = book.where(F.array_contains("group_list", group))
     total = shown("total", places)
@@ -65,12 +67,13 @@ def best_roster_per_group(lines: DataFrame, *, unit: int = 1, ranked: bool = Fal
 
 def roster_careers(
     lines: DataFrame, group: str, period: int, *, concise: bool = False, unit: int = 1,
-    places: int | None = None,
+    places: int | None = None, group_order: str = "slot",
 ) -> DataFrame:
     """Careers of the members of one (group, period) roster, sorted as printed with ``places``."""
+    lines, group_order = slotted(lines, group_order)
     here = F.bool_or((F.col("period") == period) & F.exists("sightings", lambda s: s["grp"] == group))
     book = careers(
-        seasons(lines, by_entity=True), name_order="period", group_order="slot", extra={"on_roster": here}
+        seasons(lines, by_entity=True), name_order="period", group_order=group_order, extra={"on_roster": here}
     ).where("on_roster")
     book = book.orderBy(desc_last(shown("total", places)), asc_last("name"), asc_last("entity"))
     if concise:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pennant.functions import asc_last, desc_last, joined, ratio
 from pennant.operators.rollups import careers, season_groups, seasons
+from pennant.operators.slots import slotted
 
 CAREER = ["entity", "name", "total", "periods", "span", "groups"]
 SEASON = ["entity", "name", "total", "period", "groups"]
@@ -29,8 +30,10 @@ def career_leaders(
 ) -> DataFrame:
     """Entities with the highest career total, sorted as printed with ``places``.
 
-    ``season_filter`` drops seasons before the roll-up.
+    ``season_filter`` drops seasons before the roll-up. The group order ``kept`` is ``slot`` by the position among the
+    given lines instead of the position in the file.
     """
+    lines, group_order = slotted(lines, group_order)
     per_season = seasons(lines, by_entity=True)
     if season_filter is not None:
         per_season = per_season.where(season_filter)

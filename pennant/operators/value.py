@@ -16,6 +16,15 @@ SEASON_COST = ["entity", "name", "total", "cost", "period", "groups"]
 
 
 def _book(lines: DataFrame, level: str) -> tuple[DataFrame, list[str]]:
+    """Careers or seasons and their columns. Careers of flagged lines are those of active entities only.
+
+    Flagged lines (all lines, see ``rollups.stints``) carry the last period of source 0 through the roll-up, so that the
+    last period of all and the careers come from one pass over the lines; the careers are written once and read twice.
+    """
+    if level == "career" and "counted" in lines.columns:
+        book = cut_lineage(careers(seasons(lines, by_entity=True)))
+        latest = book.agg(F.max("active_until")).scalar()
+        return book.where(F.col("n_lines") > 0).withColumn("active", F.col("last_period") >= latest), CAREER_COST
     if level == "career":
         return careers(seasons(lines, by_entity=True)), CAREER_COST
     if level == "period":
@@ -29,13 +38,17 @@ def cost_per_value(
     """Highest cost per point above the lowest total of all.
 
     The lowest row itself has a zero base; ``zero_base`` ranks it ``last`` or ``first``.
-    ``active_in`` (all lines): keep entities whose last period is that of source 0 as a whole.
+    Active entities alone are kept, those whose last period is that of source 0 as a whole, if ``lines`` are flagged
+    (all lines of the table, one pass), or if ``active_in`` gives all lines beside stored stints.
     """
     book, columns = _book(lines, level)
     # the minimum and the ranking both read it: written once, so the lines are rolled up once
-    book = cut_lineage(book)
+    if "active" not in book.columns:
+        book = cut_lineage(book)
     lowest = book.agg(F.min("total")).scalar()
     paid = book.where(F.col("cost") > 0)
+    if "active" in book.columns:
+        paid = paid.where("active")
     if active_in is not None:
         paid = paid.where(F.col("last_period") >= active_since(active_in))
     price = ratio("cost", F.col("total") - lowest)
@@ -62,7 +75,7 @@ def value_per_cost(
 ) -> DataFrame:
     """Highest total per cost. ``since``: careers that lasted into that period, or seasons from it on.
 
-    The name shown is that of the entity's first line ever, at both levels.
+    The name shown is that of the entity's first line ever, at both levels. Active entities: as in ``cost_per_value``.
     """
     if level == "career":
         book, columns = _book(lines, level)
@@ -73,6 +86,8 @@ def value_per_cost(
         )
         book, columns, last = season_groups(per_season), SEASON_COST, "period"
     book = book.where(F.col("cost") > 0)
+    if "active" in book.columns:
+        book = book.where("active")
     if since is not None:
         book = book.where(F.col(last) >= since)
     if active_in is not None:

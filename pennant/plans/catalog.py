@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
@@ -10,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pennant.operators import active, awards, cohorts, groups, leaders, ranking, streaks, value
-from pennant.operators.rollups import stored_stints
-from pennant.plans.reports import Field, Report, write_report
-from pennant.sources import Roles, as_lines, read_facts, union_lines
+from pennant.operators.slots import kept_stints
+from pennant.plans.reports import Field, Finished, Report, write_report
+from pennant.sources import Roles, as_lines, read_bucketed, read_facts, union_lines
 
 # --- Fixed values -------------------------------------------------------------------------------
 
@@ -114,12 +115,18 @@ class Book:
             lines("war_daily_pitch"),
             spark.read.parquet(f"{folder}/awards") if awards else None,
             spark.read.parquet(f"{folder}/teams") if teams else None,
-            spark.read.parquet(f"{folder}/stints") if stints else None,
+            read_bucketed(spark, f"{folder}/stints") if stints else None,
         )
 
+    @cached_property
+    def version(self) -> str:
+        """Names the tables' files, which a table that is written anew does not share with the one before it."""
+        tables = [t for t in (self.bat, self.pitch, self.awards_table, self.teams_table, self.stints_table) if t is not None]
+        return hashlib.sha256("\n".join(f for t in tables for f in ["", *sorted(t.inputFiles())]).encode()).hexdigest()
+
     def roll_up(self) -> DataFrame:
-        """The table of stints, with groups as written."""
-        return stored_stints(union_lines(*[self._lines(s, leagues=MAJOR_LEAGUES, fold_group=None) for s in (0, 1)]))
+        """The table of stints, with groups as written and slots by the position among these lines."""
+        return kept_stints(union_lines(*[self._lines(s, leagues=MAJOR_LEAGUES, fold_group=None) for s in (0, 1)]))
 
     def _lines(self, source: int, measure: str = "WAR", **options) -> DataFrame:
         df = (self.bat, self.pitch)[source]
@@ -230,7 +237,7 @@ def _reports() -> Iterable[Report]:
     def add(name: str, title: str, layout, shape, build) -> Report:
         return Report(name, title, layout, lambda book: shape(build(book)))
 
-    yield add("career_leaders", "Top 10 careers by WAR", CAREER, _career, lambda b: leaders.career_leaders(b.lines, 10, places=2))
+    yield add("career_leaders", "Top 10 careers by WAR", CAREER, _career, lambda b: leaders.career_leaders(b.lines, 10, group_order="kept", places=2))
     yield add("season_leaders", "Top 10 seasons by WAR", SEASON, _season, lambda b: leaders.period_leaders(b.lines, 10))
     yield add(
         "season_trailers", "Bottom 10 seasons by WAR", SEASON, _season,
@@ -244,11 +251,11 @@ def _reports() -> Iterable[Report]:
             yield add(
                 f"team_{team.lower()}_{'worst' if worst else 'best'}_30",
                 f"{'Bottom' if worst else 'Top'} 30 careers of {team} players", CAREER, _career,
-                lambda b, t=team, w=worst: groups.group_career_leaders(b.lines, t, 30, worst=w, places=2),
+                lambda b, t=team, w=worst: groups.group_career_leaders(b.lines, t, 30, worst=w, group_order="kept", places=2),
             )
     yield add(
         "team_bos_best", "Careers of BOS players, best first", CAREER, _career,
-        lambda b: groups.group_career_leaders(b.lines, "BOS", places=2),
+        lambda b: groups.group_career_leaders(b.lines, "BOS", group_order="kept", places=2),
     )
     yield add(
         "team_bos_worst", "Careers of BOS players, worst first", CAREER, _career,
@@ -324,12 +331,12 @@ def _reports() -> Iterable[Report]:
     for year, team in ((1928, "PHA"), (1959, "MLN"), (1996, "CLE"), (2005, "NYY")):
         yield add(
             f"roster_{year}_{team.lower()}", f"Careers of the {year} {team} roster", CAREER, _career,
-            lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y, places=2),
+            lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y, places=2, group_order="kept"),
         )
     for year, team in ((1928, "PHA"), (2005, "NYY")):
         yield add(
             f"roster_{year}_{team.lower()}_concise", f"Careers of the {year} {team} roster, concise", ROSTER_CONCISE,
-            _renamed(name="name", war="rounded"), lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y, concise=True, places=2),
+            _renamed(name="name", war="rounded"), lambda b, y=year, t=team: groups.roster_careers(b.lines, t, y, concise=True, places=2, group_order="kept"),
         )
     for year in (2019, 2022):
         for team in ("BOS", "NYY", "OAK"):
@@ -451,10 +458,21 @@ def run_report(book: Book, name: str) -> DataFrame:
     return CATALOG[name].build(book)
 
 
-def run_catalog(book: Book, out: str, names: Iterable[str] | None = None) -> list[str]:
-    """Write every report (or the named ones) under ``out``; returns the names written."""
+def run_catalog(book: Book, out: str, names: Iterable[str] | None = None, resume: bool = False) -> list[str]:
+    """Write every report (or the named ones) under ``out``; returns the names written.
+
+    Each report that is whole is noted under ``out/_finished`` with the version of the tables it was made from. With
+    ``resume`` those are skipped, so that a run goes on where one before it stopped; reports of other tables, or whose
+    files are no longer whole, are written again.
+    """
+    spark = book.bat.sparkSession
+    notes = Finished(spark, out, book.version)
     done = []
     for name in sorted(CATALOG) if names is None else names:
+        if resume and notes.holds(name):
+            continue
+        notes.remove(name)
         write_report(run_report(book, name), CATALOG[name], out)
+        notes.add(name)
         done.append(name)
     return done

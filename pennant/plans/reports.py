@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pennant.functions import padded
@@ -88,3 +88,27 @@ def write_report(df: DataFrame, report: Report, out: str) -> None:
     rows = df.sparkSession.read.parquet(table)
     lines = text_lines(rows, report.title, report.layout).orderBy("rank")
     lines.select("line").write.mode("overwrite").text(f"{out}/{report.name}/text")
+
+
+class Finished:
+    """Notes of the reports that are whole, in the folder they are written to."""
+
+    def __init__(self, spark: SparkSession, out: str, version: str) -> None:
+        jvm = spark._jvm
+        self._path, self.out, self.version = jvm.org.apache.hadoop.fs.Path, out, version
+        self.system = self._path(out).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _note(self, name: str):
+        return self._path(f"{self.out}/_finished/{name}.{self.version}")
+
+    def holds(self, name: str) -> bool:
+        """Noted for these tables, and both of its outputs were written to the end."""
+        written = [self._path(f"{self.out}/{name}/{part}/_SUCCESS") for part in ("table", "text")]
+        return all(self.system.exists(p) for p in [self._note(name), *written])
+
+    def add(self, name: str) -> None:
+        self.system.create(self._note(name), True).close()
+
+    def remove(self, name: str) -> None:
+        """Before a report is written: whatever is there is no longer whole."""
+        self.system.delete(self._note(name), False)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pennant.operators import enrich
 from pennant.plans.catalog import Book
-from pennant.sources import read_crosswalk, read_csv, read_game_log, write_table
+from pennant.sources import read_crosswalk, read_csv, read_game_log, write_bucketed, write_table
 
 # --- Fixed values: column names of the public files ---------------------------------------------
 
@@ -114,5 +114,6 @@ def build_tables(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
         ),
     )
     put("war_daily_pitch", enrich.enrich_b(pitch, events=events, stats=pitching, awards=award_lists))
-    put("stints", Book.open(spark, out, awards=False, teams=False, stints=False).roll_up())
-    return written
+    rolled = Book.open(spark, out, awards=False, teams=False, stints=False).roll_up()
+    write_bucketed(rolled, f"{out}/stints", "entity", "period")
+    return [*written, "stints"]

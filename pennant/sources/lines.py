@@ -44,6 +44,7 @@ def as_lines(
     *,
     leagues: Sequence[str] | None = None,
     keep_null_measure: bool = False,
+    flag: bool = False,
     measure_type: str | None = None,
     fold_group: str | None = "upper",
     where: Column | None = None,
@@ -52,16 +53,20 @@ def as_lines(
 
     ``measure_type`` should be an exact type (``long``, ``decimal(12,4)``): then every sum is the same
     in any order and can be combined map-side; a measure that it cannot hold stops the job. ``source`` is below
-    ``MAX_SOURCES``. ``where`` is a user filter on the source's own columns.
+    ``MAX_SOURCES``. ``where`` is a user filter on the source's own columns. ``flag`` keeps all lines, and says in
+    ``counted`` which ones the league and measure rules would keep.
     """
     if isinstance(source, int) and not 0 <= source < MAX_SOURCES:
         raise ValueError(f"source must be from 0 to {MAX_SOURCES - 1}")
     if where is not None:
         df = df.where(where)
+    counts = F.lit(True)
     if leagues is not None:
-        df = df.where(F.col(roles.league).isin(list(leagues)))
+        counts = F.coalesce(F.col(roles.league).isin(list(leagues)), F.lit(False))
     if not keep_null_measure:
-        df = df.where(F.col(roles.measure).isNotNull())
+        counts = counts & F.col(roles.measure).isNotNull()
+    if not flag:
+        df = df.where(counts)
     group = F.col(roles.group)
     if fold_group is not None:
         group = {"upper": F.upper, "lower": F.lower}[fold_group](group)
@@ -82,6 +87,7 @@ def as_lines(
         measure.alias("measure"),
         (F.coalesce(F.col(roles.cost).cast("long"), F.lit(0)) if roles.cost else F.lit(0)).cast("long").alias("cost"),
         (F.col(roles.category) if roles.category else F.lit(None).cast("string")).alias("category"),
+        *([counts.alias("counted")] if flag else []),
     )
 
 

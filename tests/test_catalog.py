@@ -7,7 +7,7 @@ from decimal import Decimal
 
 import pytest
 
-from pennant.operators import enrich
+from pennant.operators import enrich, leaders
 from pennant.plans.catalog import CATALOG, Book, run_catalog, run_report
 from pennant.plans.reports import labelled, text_lines
 from pennant.plans.season_tables import Inputs, build_tables
@@ -180,6 +180,61 @@ def test_text_output(spark, book, tmp_path):
     assert [r.c0 for r in table] == [f"#{i + 1}:" for i in range(len(table))]
 
 
+def test_a_stopped_run_goes_on_where_it_stopped(spark, book, folder, tmp_path, monkeypatch):
+    from pennant.plans import catalog
+
+    names, out = ["career_leaders", "season_leaders", "log_ruthba01"], str(tmp_path)
+    write, calls = catalog.write_report, []
+
+    def stops(df, report, to):
+        if report.name == "log_ruthba01" and "log_ruthba01" not in calls:
+            calls.append(report.name)
+            raise RuntimeError("driver lost")
+        calls.append(report.name)
+        write(df, report, to)
+
+    monkeypatch.setattr(catalog, "write_report", stops)
+    with pytest.raises(RuntimeError):
+        run_catalog(book, out, names)
+    assert run_catalog(book, out, names, resume=True) == ["log_ruthba01"]
+    assert run_catalog(book, out, names, resume=True) == []
+    (tmp_path / "season_leaders" / "text" / "_SUCCESS").unlink()  # no longer whole
+    assert run_catalog(book, out, names, resume=True) == ["season_leaders"]
+    other = Book.open(spark, folder, stints=False)  # made from other tables
+    assert run_catalog(other, out, ["career_leaders"], resume=True) == ["career_leaders"]
+    assert run_catalog(book, out, names[:1]) == ["career_leaders"]
+
+
+@pytest.mark.parametrize(
+    "name", ["career_leaders", "season_leaders", "average_leaders", "team_bos_best", "best_rosters", "best_5_seasons", "streak_over_5",
+             "peak_under_20", "costly_seasons", "value_careers", "name_starts_babe", "roster_2005_nyy", "retention_bos", "long_low_careers"],
+)
+def test_reports_of_stored_stints_do_not_move_entities(book, name):
+    plan = run_report(book, name)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(entity" not in plan and "Bucketed: true" in plan
+
+
+def test_one_entity_reads_one_bucket(book):
+    plan = run_report(book, "log_ruthba01")._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 1 out of" in plan
+
+
+def test_groups_follow_positions_among_counted_lines(book, league):
+    first = {}
+    for source, rows in enumerate(league):
+        kept = [r for r in rows if r[8] != "NULL" and r[5] in ("AL", "NL")]
+        for position, r in enumerate(kept):
+            key = (r[1], r[3])
+            first[key] = min(first.get(key, (position, source)), (position, source))
+    expect = {}
+    for player in {p for p, _ in first}:
+        expect[player] = ",".join(t for t, _ in sorted(((t, first[p, t]) for p, t in first if p == player), key=lambda x: x[1]))
+    got = {r.entity: r.groups for r in leaders.career_leaders(book.lines, 1000, group_order="kept").collect()}
+    assert got == expect
+    plain = Book(book.bat, book.pitch).lines
+    assert {r.entity: r.groups for r in leaders.career_leaders(plain, 1000, group_order="kept").collect()} == expect
+
+
 def test_nulls_print_as_blank(spark, book):
     layout = CATALOG["streak_over_14"].layout
     df = spark.createDataFrame([("A", 0, None, None)], "name string, season_count long, year_range string, teams string")

@@ -1,6 +1,7 @@
 """Shape of the physical plans, and results under a hot key."""
 
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import QUERIES
 from pennant.operators import awards, enrich, groups, leaders, rollups, streaks
+from pennant.sources.checkpoints import cut_lineage
 
 SF = "/root/testdata/sf0.001"
 # Windows over a bounded frame (top n rows, one row per group, one row per partition) and global aggregates.
@@ -103,3 +105,44 @@ def test_salted_rivals_find_every_pair(spark, make_lines):
     won = spark.createDataFrame([("p150", 2000, "CY", "ML", True)], "entity string, period int, award string, league string, winner boolean")
     got = awards.award_snubs(lines, won, "CY", 1000, since=1956, leagues=["AL"]).collect()
     assert [r.entity for r in got] == [f"p{i}" for i in range(199, 150, -1)]
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if n.startswith("t32_") or n in ("t12_cost_per_value_active", "t16_value_per_cost_active", "t21_average_retention")])
+def test_lines_are_scanned_once(spark, monkeypatch, name):
+    from pennant.operators import active, value
+
+    plans = []
+
+    def counted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut_lineage(df)
+
+    for module in (active, value):
+        monkeypatch.setattr(module, "cut_lineage", counted)
+    plans.append(QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
+    assert sum(len(re.findall(r"FileScan parquet \[[^\]]*l_orderkey", p)) for p in plans) == 1
+
+
+def test_hot_season_is_split_at_run_time(spark):
+    """The one join of the enrichment: a season with a third of all lines goes to more tasks than one."""
+    rows = [("hot" if i % 3 == 0 else f"p{i % 500}", 2000, i % 4 + 1, "AL", 10, i, "x" * 200) for i in range(30_000)]
+    lines = spark.createDataFrame(rows, "player_ID string, year_ID int, stint_ID int, lg_ID string, G int, line_no long, note string")
+    lists = spark.createDataFrame([("HOT", 2000, "MVP"), *[(f"p{i}", 2000, "ROY") for i in range(500)]], "entity string, period int, awards string")
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        out = enrich.attach_awards(lines.repartition(8), lists)
+        assert out.where("awards = 'MVP'").count() == sum(1 for r in rows if r[0] == "hot" and r[2] == 1)
+        found = out.select("line_no", "awards", "note")
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plan

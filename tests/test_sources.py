@@ -8,12 +8,14 @@ from pennant.sources import (
     as_lines,
     lines_from_csv,
     number_lines,
+    read_bucketed,
     read_crosswalk,
     read_csv,
     read_facts,
     read_game_log,
     union_lines,
     unpivot_slots,
+    write_bucketed,
     write_table,
 )
 from pennant.sources.files import with_file_number
@@ -142,3 +144,47 @@ def test_write_table_replaces(spark, tmp_path):
     write_table(spark.range(5), path)
     write_table(spark.range(3), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def scanned_rows(df):
+    """Rows that the scans of a frame's plan gave, once it has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if name.startswith("Scan"):
+            return node.metrics().apply("numOutputRows").value()
+        kids = [node.plan()] if "QueryStage" in name else [node.children().apply(i) for i in range(node.children().size())]
+        return sum(walk(k) for k in kids)
+
+    return walk(plan)
+
+
+def test_bucketed_table_skips_row_groups_and_reopens(spark, tmp_path):
+    path = str(tmp_path / "b x")
+    rows = spark.range(40_000).select(F.concat(F.lit("e"), F.col("id") % 4000).alias("entity"), F.col("id").alias("v"))
+    old = spark.conf.get("parquet.block.size", None)
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", "20000")
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.page.row.count.limit", "100")
+    try:
+        write_bucketed(rows, path, "entity", "v", buckets=2)
+    finally:
+        for k in ("parquet.block.size", "parquet.page.row.count.limit"):
+            spark.sparkContext._jsc.hadoopConfiguration().unset(k)
+    assert old is None
+    fresh = spark.newSession()
+    for session in (spark, fresh):
+        table = read_bucketed(session, path)
+        one = table.where("entity = 'e17'")
+        assert scanned_rows(one) < 5_000
+        assert sorted(r.v for r in one.collect()) == list(range(17, 40_000, 4000))
+        plan = table.groupBy("entity").count()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+    assert len([f for f in (tmp_path / "b x").iterdir() if f.name.startswith("part-")]) == 2
+    meta = pq.ParquetFile(next(f for f in (tmp_path / "b x").iterdir() if f.name.startswith("part-"))).metadata
+    assert meta.num_row_groups > 3
+    write_bucketed(rows.limit(10), path, "entity", buckets=3)
+    assert read_bucketed(spark, path).count() == 10
