@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from pennant.functions import list_position, ordered_sum, padded, ratio, remap, rounded_mean, rounded_units, year_span
+from pennant.functions import list_position, ordered_sum, padded, ratio, remap, rounded_mean, rounded_units, sums_before, year_span
 from pennant.operators.enrich import Decimal, share_filter
 from pennant.operators.ranking import numbered
 from pennant.functions import asc_last, desc_last
@@ -80,3 +80,12 @@ def test_share_is_exact_at_the_limit(spark):
     df = spark.createDataFrame(rows, "k string, c string, n long")
     kept = {(r.k, r.c) for r in share_filter(df, ["k"], "n", Decimal("0.03")).collect()}
     assert kept == {("a", "x"), ("a", "y"), ("b", "x")}
+
+
+def test_running_sums_by_directories(spark):
+    rng = random.Random(7)
+    rows = list({(g, rng.choice([-1, 1]) * rng.getrandbits(rng.choice([4, 20, 62]))): rng.randint(1, 9) for g in "ab" for _ in range(300)}.items())
+    df = spark.createDataFrame([(g, k, v) for (g, k), v in rows], "g string, k long, v long")
+    got = {(r.g, r.k): (r.start, r.total) for r in sums_before(df, ["g"], "k", "v", (10, 16, 16)).collect()}
+    for (g, k), _ in rows:
+        assert got[g, k] == (sum(v for (o, x), v in rows if o == g and x < k), sum(v for (o, _), v in rows if o == g))
