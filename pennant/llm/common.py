@@ -1,4 +1,4 @@
-"""Shared folder, scratch tables, row numbers and linked components."""
+"""Shared folder, scratch tables, row names and linked components."""
 
 from __future__ import annotations
 
@@ -7,9 +7,8 @@ import shutil
 import tempfile
 import uuid
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -66,42 +65,39 @@ class Space:
             system.delete(at, True)
 
 
-def numbered(df: DataFrame, name: str = "row") -> DataFrame:
-    """Row numbers that are the same at every evaluation, for a frame with a fixed scan such as a table."""
-    return df.select(F.monotonically_increasing_id().alias(name), F.struct("*").alias("whole"))
+def _plain_scan(df: DataFrame) -> bool:
+    """Whether a frame is a scan of files with nothing but columns and fixed filters on top."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.deterministic() and node.children().size() == 1 and node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.children().size() == 0 and node.nodeName().startswith(("LogicalRelation", "Relation"))
 
 
-def key_of(column: Column) -> Column:
-    """Text as a key that is never null and sorts like it, null first."""
-    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
+def numbered(df: DataFrame, space: Space, name: str = "row") -> DataFrame:
+    """(row, whole): 16 bytes that name each row, by its file and its place in the file.
 
+    They are the same at every evaluation, however the files are split between tasks then. A frame that is no plain scan
+    of Parquet files is written first, and its rows are named by that copy.
+    """
+    if "_metadata" in df.columns or not _plain_scan(df) or not _has_rows(df):
+        df = space.write(df.select(F.struct("*").alias("whole")), "rows", keep=True)
+        whole = F.col("whole")
+    else:
+        whole = F.struct("*").alias("whole")
+    at = [F.lpad(F.hex(c), 16, "0") for c in (F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index"))]
+    return df.select(F.unhex(F.concat(*at)).alias(name), whole)
 
-def before(df: DataFrame, by: Sequence[str], key: str, value: str, bits: Sequence[int]) -> DataFrame:
-    """Add ``start``, the sum of ``value`` over the rows of the same ``by`` with a smaller ``key``, and ``total``, the
-    sum over all of them. ``df`` is a written table with distinct keys, ``key`` a long.
 
-    No group is ordered as a whole: a directory holds the sums of the keys that agree but for their last ``bits``, the
-    next directory the sums of those, and so on. A window sees 2**bits rows at most, and the last one the keys that are
-    left after all shifts.
-    """
-    levels, here = [], df
-    for b in bits:
-        run = Window.partitionBy(*by, "_parent").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        here = here.withColumn("_parent", F.shiftright(key, b))
-        here = here.withColumn("_before", F.coalesce(F.sum(value).over(run), F.lit(0)))
-        levels.append(here)
-        here = here.groupBy(*by, "_parent").agg(F.sum(value).alias(value)).withColumnRenamed("_parent", key)
-    run = Window.partitionBy(*by).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    above = here.select(
-        *by, F.col(key).alias("_parent"), F.coalesce(F.sum(value).over(run), F.lit(0)).alias("start"),
-        F.sum(value).over(Window.partitionBy(*by)).alias("total"),
-    )
-    for i, level in enumerate(reversed(levels)):
-        own = [c for c in level.columns if c not in ("_parent", "_before")] if i == len(levels) - 1 else [*by, F.col(key).alias("_parent")]
-        above = level.withColumnRenamed("_parent", "_up").join(above.withColumnRenamed("_parent", "_up"), [*by, "_up"]).select(
-            *own, (F.col("_before") + F.col("start")).alias("start"), "total"
-        )
-    return above
+def _has_rows(df: DataFrame) -> bool:
+    try:
+        return bool(df.select("_metadata.row_index").columns)
+    except AnalysisException:  # files of a kind without row numbers
+        return False
+
+
+def key_of(column: Column) -> Column:
+    """Text as a key that is never null and sorts like it, null first."""
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
 
 
 RUN = 1 << 16
@@ -127,17 +123,17 @@ def remainder(doc_id: Column, mod: int) -> Column:
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % mod
 
 
-def components(space: Space, edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(space: Space, edges: DataFrame) -> DataFrame:
     """(node, component) with the smallest node reachable over edges (a, b); nodes without an edge are left out.
 
     Each round takes the smallest label among a node and its neighbours and then the label of that label, so
-    that the rounds grow with the logarithm of a chain. Labels are one row per node; a node with very many edges
+    that the rounds grow with the logarithm of a chain; it goes on until no label moves. Labels are one row per node; a node with very many edges
     is combined map-side, and its edges are split by the join at run time.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = space.write(both.where("a <> b"), "edges")
     labels = space.write(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-    for _ in range(rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("seen"))
         step = labels.join(near, "a").select("a", "label", F.least("label", "seen").alias("low"))
         onward = labels.select(F.col("a").alias("low"), F.col("label").alias("next"))
@@ -148,4 +144,3 @@ def components(space: Space, edges: DataFrame, rounds: int = 60) -> DataFrame:
         if labels.where("moved").limit(1).count() == 0:
             return labels.select(F.col("a").alias("node"), F.col("label").alias("component"))
         labels = labels.drop("moved")
-    raise RuntimeError("components did not settle")

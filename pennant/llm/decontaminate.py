@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pennant.llm.common import Space, numbered
 from pennant.llm.words import U, mix
@@ -131,11 +132,13 @@ class Filter:
         return out
 
 
-WINDOWS = "key long, hash long, place int, n int, slots array<string>"
+WINDOWS = "key {}, hash long, place int, n int, slots array<string>"
 
 
 def _windows(rows: DataFrame, keep: object = None) -> DataFrame:
     """(key, hash, place, n, slots) per window of (key, text); ``keep`` is a broadcast Filter or None."""
+    kind = rows.schema["key"].dataType
+    key_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,13 +157,13 @@ def _windows(rows: DataFrame, keep: object = None) -> DataFrame:
                         slots.append(values[i : i + WINDOW])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(key, pa.int64()), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(sizes, pa.int32()),
+                        pa.array(key, key_type), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(sizes, pa.int32()),
                         pa.array(slots, pa.list_(pa.string())),
                     ],
                     ["key", "hash", "place", "n", "slots"],
                 )
 
-    return rows.mapInArrow(run, WINDOWS)
+    return rows.mapInArrow(run, WINDOWS.format(kind.simpleString()))
 
 
 def _filter_of(windows: DataFrame) -> Filter:
@@ -180,8 +183,8 @@ def _filter_of(windows: DataFrame) -> Filter:
     return f
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, space: Space, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """(row, item_id, n_windows, share, exact_slots) per document row and item that it holds.
+def leaks(named: DataFrame, benchmark: DataFrame, space: Space, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """(row, item_id, n_windows, share, exact_slots) per row of a frame of ``common.numbered`` and item that it holds.
 
     Items with the same windows are found alike. Windows of an item that repeat count once. An alignment whose slot
     values do not map one to one (two values for one, or one for two) does not count.
@@ -189,8 +192,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, space: Space, text_col: str = "
     items = benchmark.select(F.col(item_col).cast("long").alias("key"), F.col(text_col).alias("text")).where("key IS NOT NULL")
     known = space.write(_windows(items), "items")
     sizes = known.groupBy("key").agg(F.count_distinct("hash").alias("size"))
-    keep = docs.sparkSession.sparkContext.broadcast(_filter_of(known))  # of fixed size
-    mine = _windows(numbered(docs).select(F.col("row").alias("key"), F.col(f"whole.{text_col}").alias("text")), keep)
+    keep = named.sparkSession.sparkContext.broadcast(_filter_of(known))  # of fixed size
+    mine = _windows(named.select(F.col("row").alias("key"), F.col(f"whole.{text_col}").alias("text")), keep)
     both = mine.select(F.col("key").alias("row"), "hash", "place", F.col("slots").alias("got")).join(
         known.select(F.col("key").alias("item"), "hash", F.col("place").alias("item_place"), "slots"), "hash"
     )
@@ -222,13 +225,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Null and empty texts and items hold nothing; items with a null id are not looked for. Repeated rows repeat.
     """
     with Space(docs.sparkSession) as space:
-        hits = space.write(leaks(docs, benchmark, space, text_col, item_col), "leaks", keep=True)
-    ids = numbered(docs).select("row", F.col(f"whole.{id_col}").alias("doc_id"))
+        named = numbered(docs, space)
+        hits = space.write(leaks(named, benchmark, space, text_col, item_col), "leaks", keep=True)
+    ids = named.select("row", F.col(f"whole.{id_col}").alias("doc_id"))
     return hits.join(ids, "row").select("doc_id", "item_id", "n_windows", "share", "exact_slots")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     with Space(docs.sparkSession) as space:
-        hits = space.write(leaks(docs, benchmark, space, text_col, item_col).select("row").distinct(), "leaks", keep=True)
-    return numbered(docs).join(hits, "row", "left_anti").select("whole.*")
+        named = numbered(docs, space)
+        hits = space.write(leaks(named, benchmark, space, text_col, item_col).select("row").distinct(), "leaks", keep=True)
+    return named.join(hits, "row", "left_anti").select("whole.*")

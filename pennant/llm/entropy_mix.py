@@ -23,7 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pennant.llm.common import Space, before, key_of, repeated
+from pennant.functions import sums_before
+from pennant.llm.common import Space, key_of, repeated
 from pennant.operators.ranking import numbered
 
 WEIGHTS = (3, 1, 2)
@@ -188,7 +189,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: tuple[int, int
         dealt = space.write(units.where("size > 0").join(buckets, ["key", "bucket"]).withColumn("portion", portion), "dealt", keep=True)
         keys = ["key", "bucket", "portion"]
         portions = dealt.groupBy(*keys, "n", "copies").agg(F.sum("m").alias("rows"))
-        portions = before(space.write(portions, "portions"), ["key", "bucket"], "portion", "rows", (12, 16)).withColumn("end", F.col("start") + F.col("rows"))
+        portions = sums_before(space.write(portions, "portions"), ["key", "bucket"], "portion", "rows", (12, 16)).withColumn("end", F.col("start") + F.col("rows"))
         portions = space.write(
             portions.select(*keys, "rows", (up_to("end", "copies", "n") - up_to("start", "copies", "n")).alias("share")), "portions", keep=True
         )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pennant.llm.common import SPACES, numbered
+from pennant.llm.common import SPACES, Space, numbered
 
 TRIE_BYTES = 48 << 20
 NODE_COST = 200
@@ -94,7 +94,7 @@ def _hash(key: bytes) -> int:
     return int.from_bytes(hashlib.sha256(key).digest()[:8], "little", signed=True)
 
 
-PARTIAL = "length long, content long, body binary, neg_points long, no_id boolean, id long, row long, rows long"
+PARTIAL = "length long, content long, body binary, neg_points long, no_id boolean, id long, row binary, rows long"
 
 
 def _batch(found: list[tuple[bytes, Owner]]) -> pa.RecordBatch:
@@ -104,7 +104,7 @@ def _batch(found: list[tuple[bytes, Owner]]) -> pa.RecordBatch:
         [
             pa.array([len(k) for k in keys], pa.int64()), pa.array([_hash(k) for k in keys], pa.int64()), pa.array(keys, pa.binary()),
             pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.bool_()), pa.array(columns[2], pa.int64()),
-            pa.array(columns[3], pa.int64()), pa.array(columns[4], pa.int64()),
+            pa.array(columns[3], pa.binary()), pa.array(columns[4], pa.int64()),
         ],
         ["length", "content", "body", "neg_points", "no_id", "id", "row", "rows"],
     )
@@ -133,7 +133,7 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _slices(list(trie.terminals()))
 
 
-OWNERS = "sha binary, keep_id long, keep_row long, rows long"
+OWNERS = "sha binary, keep_id long, keep_row binary, rows long"
 
 
 def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,15 +155,15 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _owner_batch(out: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64()]
     columns = list(zip(*out)) or [[]] * 4
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["sha", "keep_id", "keep_row", "rows"])
 
 
-def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, sha, keep_id, keep_row, rows) per document; ``row`` is that of ``common.numbered``."""
+def owners(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, doc_id, sha, keep_id, keep_row, rows) per row of a frame of ``common.numbered``."""
     body = F.translate(F.coalesce(F.col(f"whole.{text_col}"), F.lit("")), SPACES, "")
-    base = numbered(docs).select(
+    base = rows.select(
         "row", F.col(f"whole.{id_col}").cast("long").alias("id"),
         F.coalesce(F.length(f"whole.{text_col}"), F.lit(0)).cast("long").alias("points"),
         F.encode(body, "UTF-8").alias("body"),
@@ -181,13 +181,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     most code points stays, then the smallest id; a null id comes after every other. Of rows that repeat an id and
     a text exactly one is kept. An empty table gives an empty result; other columns are not looked at.
     """
-    return owners(docs, id_col, text_col).select(
+    with Space(docs.sparkSession) as space:
+        found = owners(numbered(docs, space), id_col, text_col)
+    return found.select(
         "doc_id", "keep_id", F.col("rows").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
-    dropped = owners(docs, id_col, text_col).where("row <> keep_row").select("row")
-    return numbered(docs).join(dropped, "row", "left_anti").select("whole.*")
+    """The rows that stay, with the columns of ``docs``: one of each set of equal texts (see ``exact_groups``), so also
+    one of all rows without a text, and one of rows that are equal in everything."""
+    with Space(docs.sparkSession) as space:
+        rows = numbered(docs, space)
+        dropped = owners(rows, id_col, text_col).where("row <> keep_row").select("row")
+    return rows.join(dropped, "row", "left_anti").select("whole.*")

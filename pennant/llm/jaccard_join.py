@@ -49,7 +49,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-PROFILE = "row long, id long, n long, node long, check long, low_a long, low_b long, low_c long, block int, counts binary, part int"
+PROFILE = "row binary, id long, n long, node long, check long, low_a long, low_b long, low_c long, block int, counts binary, part int"
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,7 +58,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def batch(columns: list, sketch_rows: bool) -> pa.RecordBatch:
         n = len(columns[0])
-        empty = [pa.nulls(n, t) for t in (pa.int64(),) * 8] if sketch_rows else [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())]
+        empty = [pa.nulls(n, t) for t in (pa.binary(), *(pa.int64(),) * 7)] if sketch_rows else [pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())]
         arrays = [*empty, *columns] if sketch_rows else [*columns, *empty]
         return pa.RecordBatch.from_arrays(arrays, ["row", "id", "n", "node", "check", "low_a", "low_b", "low_c", "block", "counts", "part"])
 
@@ -265,9 +265,9 @@ def _may_link() -> Column:
     return (least <= most) & (F.col("place") + a <= F.col("n") + SHARED - 1) & (F.col("other_place") + a <= most + SHARED - 1)
 
 
-def node_components(docs: DataFrame, space: Space, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """((row, id, n, node) per document, (node, component) of linked nodes); a text without words has n = 0."""
-    base = numbered(docs).select("row", F.col(f"whole.{id_col}").cast("long").alias("id"), F.col(f"whole.{text_col}").alias("text"))
+def node_components(named: DataFrame, space: Space, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Of a frame of ``common.numbered``: ((row, id, n, node) per document, (node, component) of linked nodes); a text without words has n = 0."""
+    base = named.select("row", F.col(f"whole.{id_col}").cast("long").alias("id"), F.col(f"whole.{text_col}").alias("text"))
     texts = base.select("text")
     profile = space.write(base.withColumn("part", F.spark_partition_id()).mapInArrow(_profile, PROFILE), "profile", keep=True)
     rows = profile.where("block IS NULL")
@@ -330,7 +330,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     component is their own id. Rows with equal sets are linked. A component's id is its smallest id that is not null.
     """
     with Space(docs.sparkSession) as space:
-        rows, merged = node_components(docs, space, id_col, text_col)
+        rows, merged = node_components(numbered(docs, space), space, id_col, text_col)
     least = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("low"))
     placed = least.join(merged, "node", "left").select("node", "low", F.coalesce("component", "node").alias("component"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
@@ -341,11 +341,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does: the one of smallest id, then row."""
+    """The rows of ``docs`` that stay when one document of each component does: the one of smallest id, null last.
+
+    Texts without words are linked with nothing and all stay. Of rows equal in id and text one stays.
+    """
     with Space(docs.sparkSession) as space:
-        rows, merged = node_components(docs, space, id_col, text_col)
+        named = numbered(docs, space)
+        rows, merged = node_components(named, space, id_col, text_col)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
     best = rows.where("n > 0").groupBy("node").agg(F.min(order).alias("best")).join(merged, "node", "left")
     stay = best.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("best").alias("best")).select("best.row")
     dropped = rows.where("n > 0").select("row").join(stay, "row", "left_anti")
-    return numbered(docs).join(dropped, "row", "left_anti").select("whole.*")
+    return named.join(dropped, "row", "left_anti").select("whole.*")

@@ -1,7 +1,7 @@
 """Merkle manifest of a table of documents: digests, proofs and their check.
 
 A document's place among the documents of its source comes from bitmaps instead of a sort: the ids of a source are
-bits of 64-bit words (only words with a bit are stored), ``common.before`` adds the words' counts up in directories,
+bits of 64-bit words (only words with a bit are stored), ``sums_before`` adds the words' counts up in directories,
 and a document's place is its word's start plus the number of lower bits in the word. Nodes then meet their siblings
 by (source, place / 16), as arrays with a slot per sibling, level by level.
 
@@ -21,7 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pennant.llm.common import Space, before, fold, key_of, remainder, repeated
+from pennant.functions import sums_before
+from pennant.llm.common import Space, fold, key_of, remainder, repeated
 from pennant.operators.ranking import numbered
 
 FAN = 16
@@ -56,7 +57,7 @@ def places(rows: DataFrame, space: Space) -> DataFrame:
     low = F.coalesce(F.col("id").bitwiseAND((1 << WORD) - 1), F.lit(0)).cast("int")
     keyed = rows.withColumns({"word": F.coalesce(F.shiftright("id", WORD), F.lit(NO_ID)), "low": low})
     words = keyed.groupBy("forest", "word").agg(F.bit_or(F.expr("shiftleft(1L, low)")).alias("bits"), F.count(F.lit(1)).alias("rows"))
-    words = before(space.write(words, "words"), ["forest"], "word", "rows", DIRECTORIES)
+    words = sums_before(space.write(words, "words"), ["forest"], "word", "rows", DIRECTORIES)
     words = space.write(words, "starts")
     lower = F.col("bits").bitwiseAND(F.bitwise_not(F.expr("shiftleft(-1L, low)")))
     placed = keyed.join(words.select("forest", "word", "bits", "start", F.col("total").alias("n"), "rows"), ["forest", "word"])
@@ -77,7 +78,7 @@ def _with_repeats(rows: DataFrame, placed: DataFrame, space: Space) -> DataFrame
     lower = Window.partitionBy("forest", "word").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
     ids = ids.withColumn("ahead", F.coalesce(F.sum("m").over(lower), F.lit(0))).drop("m")
     heads = space.write(units.groupBy(*same, "head").agg(F.sum("copies").alias("m")), "heads")
-    heads = before(heads, same, "head", "m", (8,)).select(*same, "head", F.col("start").alias("first"))
+    heads = sums_before(heads, same, "head", "m", (8,)).select(*same, "head", F.col("start").alias("first"))
     near = Window.partitionBy(*same, "head").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
     units = units.withColumn("here", F.coalesce(F.sum("copies").over(near), F.lit(0))).join(ids, same).join(heads, [*same, "head"])
     each = repeated(units, "copies", "copy")

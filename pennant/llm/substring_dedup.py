@@ -123,7 +123,7 @@ def _key(data: bytes) -> bytes:
     return hashlib.sha256(data).digest()
 
 
-ANCHORS = "row long, sha binary, n_bytes long, cls binary, anchor long, start int, strings int"
+ANCHORS = "row binary, doc_id long, sha binary, n_bytes long, cls binary, anchor long, start int, strings int"
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,10 +136,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(sha)
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column("row").slice(first, n), pa.array(sha, pa.binary()), pa.array(np.diff(at)), pa.nulls(n, pa.binary()),
+                    b.column("row").slice(first, n), b.column("doc_id").slice(first, n), pa.array(sha, pa.binary()), pa.array(np.diff(at)), pa.nulls(n, pa.binary()),
                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()),
                 ],
-                ["row", "sha", "n_bytes", "cls", "anchor", "start", "strings"],
+                ["row", "doc_id", "sha", "n_bytes", "cls", "anchor", "start", "strings"],
             )
             row, start, strings, anchor = segments(raw, at)
             fresh = np.zeros(n, bool)
@@ -153,10 +153,10 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cls = pa.DictionaryArray.from_arrays(pa.array(row, pa.int32()), pa.array([s[:16] for s in sha], pa.binary())).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), cls, pa.array(anchor.view(np.int64)),
+                    pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.int64()), cls, pa.array(anchor.view(np.int64)),
                     pa.array(start.astype(np.int32)), pa.array(strings.astype(np.int32)),
                 ],
-                ["row", "sha", "n_bytes", "cls", "anchor", "start", "strings"],
+                ["row", "doc_id", "sha", "n_bytes", "cls", "anchor", "start", "strings"],
             )
 
 
@@ -352,9 +352,9 @@ def kept_gaps(spans: list[dict], n: int) -> list[tuple[int, int]]:
     return [(a, z) for a, z in zip(edges[::2], edges[1::2]) if z > a]
 
 
-def repeats(docs: DataFrame, space: Space, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """((row, sha, n_bytes) per document, (cls, spans) per text with repeats); cls is the first half of sha."""
-    base = numbered(docs).select("row", F.col(f"whole.{text_col}").alias("text"))
+def repeats(named: DataFrame, space: Space, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Of a frame of ``common.numbered``: ((row, doc_id, sha, n_bytes) per document, (cls, spans) per text with repeats); cls is the first half of sha."""
+    base = named.select("row", F.col(f"whole.{id_col}").cast("long").alias("doc_id"), F.col(f"whole.{text_col}").alias("text"))
     texts = base.select("text")
     anchors = space.write(base.mapInArrow(_anchors, ANCHORS), "anchors", keep=True)
     found = anchors.where("row IS NULL").select("cls", "anchor", "start", "strings")
@@ -386,7 +386,7 @@ def repeats(docs: DataFrame, space: Space, text_col: str = "text") -> tuple[Data
             (F.col("start") + s["lo"]).alias("lo"), (F.col("start") + s["hi"] + (LENGTH - 1)).alias("hi")))).alias("span"))
         .groupBy("cls").agg(F.collect_set("span").alias("spans"))
     )
-    return anchors.where("row IS NOT NULL").select("row", "sha", "n_bytes"), space.write(covered, "covered", keep=True)
+    return anchors.where("row IS NOT NULL").select("row", "doc_id", "sha", "n_bytes"), space.write(covered, "covered", keep=True)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -394,12 +394,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts under 400 bytes lose nothing. Rows with equal texts of 400 bytes or more lose all of it, whatever their ids.
     """
-    base = numbered(docs)
     with Space(docs.sparkSession) as space:
-        rows, covered = repeats(docs, space, text_col)
-        texts = base.select(F.col(f"whole.{text_col}").alias("text"))
+        named = numbered(docs, space)
+        rows, covered = repeats(named, space, id_col, text_col)
+        texts = named.select(F.col(f"whole.{text_col}").alias("text"))
         left = space.write(_texts_of(texts, covered).mapInArrow(_remove, "cls binary, n_removed long, n_spans long, kept binary").dropDuplicates(["cls"]), "left", keep=True)
-    ids = base.select("row", F.col(f"whole.{id_col}").alias("doc_id"))
     copies = rows.where(F.col("n_bytes") >= LENGTH).groupBy("sha").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
     changed = (
         copies.select("sha", F.substring("sha", 1, 16).alias("cls"))
@@ -408,7 +407,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     nothing = F.unhex(F.sha2(F.lit(b""), 256))
     return (
-        rows.withColumn("cls", F.substring("sha", 1, 16)).join(changed, "cls", "left").join(ids, "row")
+        rows.withColumn("cls", F.substring("sha", 1, 16)).join(changed, "cls", "left")
         .select(
             "doc_id", "n_bytes", F.when(F.col("gone"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
             F.when(F.col("gone"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),

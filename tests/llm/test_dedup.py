@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pennant.llm.common import Space, components, ship_code
 from pennant.llm.exact_dedup import Trie, exact_dedup, exact_groups
@@ -181,3 +182,58 @@ def test_substring_dedup(spark, group, monkeypatch):
     rows = list(enumerate(texts)) + [(None, texts[1]), (3, texts[3]), (900, "é" * 300)]
     got = substring_dedup(frame(spark, rows)).collect()
     assert Counter(tuple(r) for r in got) == brute_removed(rows)
+
+
+@pytest.fixture
+def few_splits(spark):
+    """A way to change how many splits a scan has."""
+    names = ("spark.sql.files.minPartitionNum", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k, None) for k in names}
+
+    def splits(n, size):
+        for k, v in zip(names, (n, size, 1000)):
+            spark.conf.set(k, str(v))
+
+    yield splits
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+OPERATORS = ["op1_jaccard_join", "op2_decontaminate", "op3_exact_dedup", "op5_substring_dedup", "op9_lm_score", "op11_entropy_mix", "op12_token_alignment", "op13_merkle_manifest"]
+STAGES = ["exact_dedup", "jaccard_join", "decontaminate"]
+
+
+@pytest.mark.parametrize("name", OPERATORS + STAGES)
+def test_rows_keep_their_names_when_splits_change(spark, few_splits, tmp_path, name):
+    import corpus_pipeline
+    from pennant.llm.queries import QUERIES
+
+    sf = str(tmp_path)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
+    docs.coalesce(1).write.option("parquet.block.size", 60_000).parquet(f"{sf}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{sf}/benchmark.parquet")
+
+    def frame():
+        if name in OPERATORS:
+            return QUERIES[name](spark, sf)
+        return dict(corpus_pipeline.STAGES)[name](spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+
+    few_splits(1, 100 << 20)
+    assert spark.read.parquet(f"{sf}/documents.parquet").rdd.getNumPartitions() == 1
+    expect = Counter(tuple(r) for r in frame().collect())
+    built = frame()
+    few_splits(16, 30_000)
+    assert spark.read.parquet(f"{sf}/documents.parquet").rdd.getNumPartitions() > 4
+    assert Counter(tuple(r) for r in built.collect()) == expect
+
+
+def test_frames_that_are_no_scan_are_written_before_rows_are_named(spark):
+    from pennant.llm.common import numbered
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    twice = docs.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2))))
+    with Space(spark) as space:
+        assert space.own == [] and numbered(docs.where("doc_id > 3"), space).select("row").distinct().count() == docs.count() - 4
+        assert numbered(twice, space).select("row").distinct().count() == 2 * docs.count()
+        assert numbered(docs.union(docs), space).select("row").distinct().count() == 2 * docs.count()
+        assert numbered(docs.withColumn("_metadata", F.lit(1)), space).select("row").distinct().count() == docs.count()

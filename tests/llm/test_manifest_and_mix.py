@@ -177,14 +177,3 @@ def test_repeated_rows_in_runs(spark, monkeypatch):
     df = spark.createDataFrame([(1, 1), (2, 4), (3, 5), (4, 13)], "id long, m long")
     got = Counter((r.id, r.copy) for r in common.repeated(df, "m", "copy").collect())
     assert got == Counter((i, k) for i, m in [(1, 1), (2, 4), (3, 5), (4, 13)] for k in range(m))
-
-
-def test_running_sums_by_directories(spark):
-    from pennant.llm.common import before
-
-    rng = random.Random(7)
-    rows = list({(g, rng.choice([-1, 1]) * rng.getrandbits(rng.choice([4, 20, 62]))): rng.randint(1, 9) for g in "ab" for _ in range(300)}.items())
-    df = spark.createDataFrame([(g, k, v) for (g, k), v in rows], "g string, k long, v long")
-    got = {(r.g, r.k): (r.start, r.total) for r in before(df, ["g"], "k", "v", (10, 16, 16)).collect()}
-    for (g, k), _ in rows:
-        assert got[g, k] == (sum(v for (o, x), v in rows if o == g and x < k), sum(v for (o, _), v in rows if o == g))
