@@ -14,12 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from pennant.llm.common import Space, numbered
-from pennant.llm.words import U, mix
+from pennant.llm.words import EXACT, U, chunks, mix, prefix_sums, spans
 
 WINDOW = 5  # template tokens
 SHARE = 0.5  # of an item's windows that a text must hold
@@ -37,11 +37,10 @@ _NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
     "thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half".split()
 )
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _EDGE = re.compile(r"^[^\w%$€£°+-]+|[^\w%$€£°]+$")
 _CLOSES = re.compile(r"[.!?:;。][\"')\]]*$")
 _STEPS = mix(np.arange(1, WINDOW + 1, dtype=np.uint64))
-_CACHE: dict[str, tuple[int, int, str | None, bool]] = {}
+MEMORY_BYTES = 16 << 20  # of distinct words that a task remembers
 
 
 def _plain_hash(token: str) -> int:
@@ -51,63 +50,94 @@ def _plain_hash(token: str) -> int:
 NUM, UNIT, NAME = (_plain_hash(x) for x in ("<num>", "<unit>", "<name>"))
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray, list[str | None]]:
-    """(token hashes, plain hashes, slot values): the value of a placeholder, None for a plain word.
+def word_class(word: str) -> tuple[int, int, bool, str]:
+    """(plain hash, or 0 for punctuation alone; placeholder it may be, or 0; whether it ends a sentence; its value)."""
+    core = _EDGE.sub("", word)
+    low = core.lower()
+    number = _NUMBER.fullmatch(low)
+    if not low:
+        kind = 0
+    elif number and (not number["unit"] or number["unit"] in UNITS) or low in _NUMBER_WORDS:
+        kind = NUM
+    elif low in UNITS:
+        kind = UNIT
+    else:
+        kind = NAME if len(core) > 1 and core[0].isupper() and not core.isupper() else 0
+    return _plain_hash(low) if low else 0, kind, bool(_CLOSES.search(word)), low
+
+
+class Words:
+    """Classes of distinct words by the hash of their bytes; emptied when it has grown to MEMORY_BYTES."""
+
+    def __init__(self) -> None:
+        self.at: dict[int, int] = {}
+        self.rows: list[tuple[int, int, bool, str]] = []
+        self.bytes = 0
+
+    def classes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(plain, kind, closes, index into ``rows``) per word of a line of bytes."""
+        if self.bytes > MEMORY_BYTES:
+            self.__init__()
+        sums, inverse = prefix_sums(raw, EXACT)
+        names = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+        distinct, first, which = np.unique(names, return_index=True, return_inverse=True)
+        index = np.empty(len(distinct), np.int64)
+        for i, name in enumerate(distinct.tolist()):
+            at = self.at.get(name)
+            if at is None:
+                k = first[i]
+                word = raw[starts[k] : ends[k]].tobytes().decode()
+                at = self.at[name] = len(self.rows)
+                self.rows.append(word_class(word))
+                self.bytes += 300 + 2 * len(word)
+            index[i] = at
+        found = [self.rows[i] for i in index.tolist()]
+        plain = np.asarray([r[0] for r in found], np.uint64)[which]
+        kind = np.asarray([r[1] for r in found], np.uint64)[which]
+        return plain, kind, np.asarray([r[2] for r in found], bool)[which], index[which]
+
+
+def templates(raw: np.ndarray, at: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(token hash, plain hash, row, index of the word) of a line of texts; a token that is its plain hash is no slot.
 
     A capitalised word inside a sentence is a name, at a sentence's start a plain word. A unit follows a number. Words that are
     punctuation alone are left out.
     """
-    hashes, plains, slots = [], [], []
-    opening, before = True, 0
-    for word in _WORDS.findall(text or ""):
-        known = _CACHE.get(word)
-        if known is None:
-            core = _EDGE.sub("", word)
-            low = core.lower()
-            number = _NUMBER.fullmatch(low)
-            if not low:
-                known = (0, 0, None)
-            elif number and (not number["unit"] or number["unit"] in UNITS):
-                known = (_plain_hash(low), NUM, low)
-            elif low in _NUMBER_WORDS:
-                known = (_plain_hash(low), NUM, low)
-            elif low in UNITS:
-                known = (_plain_hash(low), UNIT, low)
-            else:
-                named = len(core) > 1 and core[0].isupper() and not core.isupper()
-                known = (_plain_hash(low), NAME if named else 0, low)
-            if len(_CACHE) > 200_000:
-                _CACHE.clear()
-            known = _CACHE[word] = (*known, bool(_CLOSES.search(word)))
-        plain, kind, value, closes = known
-        if plain:
-            if kind == NAME and opening or kind == UNIT and before != NUM:
-                kind = 0
-            before = kind
-            hashes.append(kind or plain)
-            plains.append(plain)
-            slots.append(value if kind else None)
-        opening = closes
-    return np.asarray(hashes, np.uint64), np.asarray(plains, np.uint64), slots
-
-
-def window_hashes(tokens: np.ndarray, plains: np.ndarray) -> np.ndarray:
-    """A hash per window; a shorter text is one window of all its tokens, no token gives none.
+    starts, ends, row = spans(raw, at)
+    plain, kind, closes, index = words.classes(raw, starts, ends)
+    opening = np.ones(len(row), bool)
+    opening[1:] = closes[:-1] | (row[1:] != row[:-1])
+    kind[(kind == U(NAME)) & opening] = 0
+    keep = plain != 0
+    plain, kind, row, index = plain[keep], kind[keep], row[keep], index[keep]
+    after_number = np.zeros(len(row), bool)
+    after_number[1:] = (kind[:-1] == U(NUM)) & (row[1:] == row[:-1])
+    kind[(kind == U(UNIT)) & ~after_number] = 0
+    return np.where(kind != 0, kind, plain), plain, row, index
+
+
+def window_hashes(tokens: np.ndarray, plains: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first token, number of tokens) per window; a shorter text is one window of all its tokens, no token gives none.
 
     A window of placeholders alone says nothing (any table of numbers has it), so it stands by its values.
     """
     n = len(tokens)
+    none = np.zeros(0, np.int64)
     if not n:
-        return np.zeros(0, np.uint64)
-    width = min(WINDOW, n)
-    shown = (tokens == plains).astype(np.int64)
-    seen = np.concatenate([[0], np.cumsum(shown)])
-    bare = seen[width:] == seen[: n - width + 1]
-    out = np.full(n - width + 1, U(width))
-    for j in range(width):
-        part = slice(j, n - width + 1 + j)
-        out = mix(out + np.where(bare, plains[part], tokens[part]) * _STEPS[j])
-    return out
+        return none.astype(np.uint64), none, none
+    edge = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]]))
+    left = np.repeat(edge[1:], np.diff(edge)) - np.arange(n)  # tokens from here to the text's end
+    size = np.repeat(np.diff(edge), np.diff(edge))
+    first = np.flatnonzero((left >= WINDOW) | ((size < WINDOW) & (left == size)))
+    width = np.minimum(left[first], WINDOW)
+    shown = np.concatenate([[0], np.cumsum(tokens == plains)])
+    bare = shown[first + width] == shown[first]
+    out = width.astype(np.uint64)
+    for j in range(WINDOW):
+        here = first + np.minimum(j, width - 1)
+        step = mix(out + np.where(bare, plains[here], tokens[here]) * _STEPS[j])
+        out = np.where(j < width, step, out)
+    return out, first, width
 
 
 class Filter:
@@ -119,48 +149,51 @@ class Filter:
     def _probes(self, h: np.ndarray) -> Iterator[np.ndarray]:
         step = mix(h) | U(1)
         for j in range(4):
-            yield ((h + step * U(j)) % U(FILTER_BITS)).astype(np.int64)
+            yield ((h + step * U(j)) & U(FILTER_BITS - 1)).astype(np.int64)
 
     def add(self, h: np.ndarray) -> None:
         for p in self._probes(h):
             np.bitwise_or.at(self.bits, p >> 3, (1 << (p & 7)).astype(np.uint8))
 
     def may_hold(self, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for p in self._probes(h):
-            out &= (self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+        left = np.arange(len(h))
+        for j in range(4):
+            x = h[left]
+            p = ((x + (mix(x) | U(1)) * U(j)) & U(FILTER_BITS - 1)).astype(np.int64)
+            left = left[(self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1]
+        out = np.zeros(len(h), bool)
+        out[left] = True
         return out
 
 
-WINDOWS = "key {}, hash long, place int, n int, slots array<string>"
+WINDOWS = "key {}, hash long, place int, slots array<string>"
 
 
 def _windows(rows: DataFrame, keep: object = None) -> DataFrame:
-    """(key, hash, place, n, slots) per window of (key, text); ``keep`` is a broadcast Filter or None."""
+    """(key, hash, place, slots) per window of (key, text); ``keep`` is a broadcast Filter or None."""
     kind = rows.schema["key"].dataType
     key_type = to_arrow_type(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
         for b in batches:
-            for start in range(0, b.num_rows, 256):
-                part = b.slice(start, 256)
-                key, hashes, places, sizes, slots = [], [], [], [], []
-                for k, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist()):
-                    tokens, plains, values = template(text)
-                    h = window_hashes(tokens, plains)
-                    at = np.flatnonzero(keep.value.may_hold(h)) if keep is not None else np.arange(len(h))
-                    for i in at.tolist():
-                        key.append(k)
-                        hashes.append(int(h[i].view(np.int64)))
-                        places.append(i)
-                        sizes.append(len(h))
-                        slots.append(values[i : i + WINDOW])
+            for start, _, raw, at in chunks(b.column("text")):
+                tokens, plains, row, index = templates(raw, at, words)
+                h, first, width = window_hashes(tokens, plains, row)
+                found = np.flatnonzero(keep.value.may_hold(h)) if keep is not None else np.arange(len(h))
+                if not len(found):
+                    continue
+                h, first, width = h[found], first[found], width[found]
+                of = row[first]
+                place = first - np.searchsorted(row, of)  # within the text
+                slot = tokens != plains
+                slots = [[words.rows[index[k]][3] if slot[k] else None for k in range(i, i + w)] for i, w in zip(first.tolist(), width.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(key, key_type), pa.array(hashes, pa.int64()), pa.array(places, pa.int32()), pa.array(sizes, pa.int32()),
+                        b.column("key").take(pa.array(of + start)).cast(key_type), pa.array(h.view(np.int64)), pa.array(place, pa.int32()),
                         pa.array(slots, pa.list_(pa.string())),
                     ],
-                    ["key", "hash", "place", "n", "slots"],
+                    ["key", "hash", "place", "slots"],
                 )
 
     return rows.mapInArrow(run, WINDOWS.format(kind.simpleString()))
@@ -186,36 +219,49 @@ def _filter_of(windows: DataFrame) -> Filter:
 def leaks(named: DataFrame, benchmark: DataFrame, space: Space, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """(row, item_id, n_windows, share, exact_slots) per row of a frame of ``common.numbered`` and item that it holds.
 
-    Items with the same windows are found alike. Windows of an item that repeat count once. An alignment whose slot
-    values do not map one to one (two values for one, or one for two) does not count.
+    Windows of an item that repeat count once. Along an alignment each slot value of the item stands for the value it
+    meets most often, and the other way round (between equals: for itself); windows with another value do not count. So a
+    changed slot costs the windows that hold it, not the item.
+
+    Items of one template are one class: texts meet classes, and only texts with enough windows of a class meet its items.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("key"), F.col(text_col).alias("text")).where("key IS NOT NULL")
     known = space.write(_windows(items), "items")
-    sizes = known.groupBy("key").agg(F.count_distinct("hash").alias("size"))
+    shape = F.xxhash64(F.array_sort(F.collect_list(F.struct("place", "hash"))))
+    classes = space.write(known.groupBy("key").agg(shape.alias("cls"), F.count_distinct("hash").alias("size")), "classes")
+    known = space.write(known.join(classes, "key").select(F.col("key").alias("item"), "cls", "size", "hash", F.col("place").alias("item_place"), "slots"), "known")
     keep = named.sparkSession.sparkContext.broadcast(_filter_of(known))  # of fixed size
     mine = _windows(named.select(F.col("row").alias("key"), F.col(f"whole.{text_col}").alias("text")), keep)
-    both = mine.select(F.col("key").alias("row"), "hash", "place", F.col("slots").alias("got")).join(
-        known.select(F.col("key").alias("item"), "hash", F.col("place").alias("item_place"), "slots"), "hash"
-    )
-    # a slot pair per window and position; each alignment is a (row, item, offset)
-    aligned = both.select("row", "item", (F.col("place") - F.col("item_place")).alias("offset"), "hash", "got", "slots")
-    pairs = F.expr("filter(arrays_zip(slots, got), x -> x.slots IS NOT NULL)")
-    runs = aligned.groupBy("row", "item", "offset").agg(
-        F.collect_set("hash").alias("hashes"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+    mine = space.write(mine.select(F.col("key").alias("row"), "hash", "place", F.col("slots").alias("got")), "mine")
+    shapes = known.select("cls", "size", "hash", "item_place").distinct()
+    near = mine.select("row", "hash").distinct().join(shapes.select("cls", "size", "hash").distinct(), "hash").groupBy("row", "cls", "size")
+    near = space.write(near.agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= SHARE * F.col("size")).select("row", "cls"), "near")
+    met = mine.join(near, "row").join(shapes, ["cls", "hash"])
+    both = met.join(known.select("cls", "item", "item_place", "slots"), ["cls", "item_place"])
+    pairs = F.expr("filter(arrays_zip(slots, got), x -> x.slots IS NOT NULL)").alias("pairs")
+    aligned = both.select("row", "item", "size", (F.col("place") - F.col("item_place")).alias("offset"), "hash", pairs)
+    runs = aligned.groupBy("row", "item", "size", "offset").agg(F.collect_list(F.struct("hash", "pairs")).alias("windows"))  # as many as the item has
+    runs = runs.withColumn("pairs", F.flatten(F.transform("windows", lambda w: w["pairs"])))
+    distinct = F.transform(
+        F.array_distinct("pairs"),
+        lambda p: F.struct(p.alias("pair"), F.struct(F.size(F.filter("pairs", lambda q: q == p)), p["slots"] == p["got"], p["got"], p["slots"]).alias("rank")),
     )
-    theirs, ours = F.transform("pairs", lambda x: x["slots"]), F.transform("pairs", lambda x: x["got"])
-    one_to_one = (F.size(F.array_distinct(theirs)) == F.size("pairs")) & (F.size(F.array_distinct(ours)) == F.size("pairs"))
-    same = F.forall("pairs", lambda x: x["slots"] == x["got"])
+    runs = runs.withColumn("ranked", distinct)
+
+    def beaten(p: Column) -> Column:
+        other = lambda q: ((q["pair"]["slots"] == p["pair"]["slots"]) | (q["pair"]["got"] == p["pair"]["got"])) & (q["rank"] > p["rank"])
+        return F.exists("ranked", other)
+
+    runs = runs.withColumn("odd", F.transform(F.filter("ranked", beaten), lambda p: p["pair"]))
+    held = F.filter("windows", lambda w: ~F.arrays_overlap(w["pairs"], F.col("odd")))
     found = (
-        runs.where(one_to_one)
-        .select("row", "item", F.explode("hashes").alias("hash"), same.alias("same"))
-        .groupBy("row", "item", "hash").agg(F.max("same").alias("same"))
-        .groupBy("row", "item").agg(F.count(F.lit(1)).alias("n_windows"), F.min("same").alias("exact_slots"))
+        runs.select("row", "item", "size", F.explode(held).alias("w"))
+        .select("row", "item", "size", "w.hash", F.forall("w.pairs", lambda x: x["slots"] == x["got"]).alias("same"))
+        .groupBy("row", "item", "size", "hash").agg(F.max("same").alias("same"))
+        .groupBy("row", "item", "size").agg(F.count(F.lit(1)).alias("n_windows"), F.min("same").alias("exact_slots"))
     )
-    return (
-        found.join(sizes, found.item == sizes.key)
-        .where(F.col("n_windows") >= SHARE * F.col("size"))
-        .select("row", F.col("item").alias("item_id"), "n_windows", (F.col("n_windows") / F.col("size")).alias("share"), "exact_slots")
+    return found.where(F.col("n_windows") >= SHARE * F.col("size")).select(
+        "row", F.col("item").alias("item_id"), "n_windows", (F.col("n_windows") / F.col("size")).alias("share"), "exact_slots"
     )
 
 

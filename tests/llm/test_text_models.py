@@ -12,7 +12,7 @@ import sentencepiece
 
 from pennant.llm import sentencepiece_codec as sp
 from pennant.llm.common import ship_code
-from pennant.llm.decontaminate import contaminated, decontaminate, template
+from pennant.llm.decontaminate import NAME, NUM, SHARE, UNIT, WINDOW, Words, contaminated, decontaminate, templates, word_class
 from pennant.llm.html_extract import extract, main_text, min_cut
 from pennant.llm.language_id import keep_known, languages
 from pennant.llm.lm_score import lm_scores
@@ -107,20 +107,137 @@ def test_decontamination(spark):
     ship_code(spark)
     bench = spark.createDataFrame([(1, ITEM, 0), (1, ITEM, 0), (2, None, 0), (3, "", 0), (None, noise(30), 0), (4, "9 9 9 9 9 9 9", 0)], "item_id long, text string, row long")
     got = contaminated(docs_of(spark, rows), bench).collect()
-    assert Counter((r.doc_id, r.item_id, r.exact_slots) for r in got) == Counter([(1, 1, True), (2, 1, False), (2, 1, False), (None, 1, False), (8, 1, True)])
+    assert Counter((r.doc_id, r.item_id, r.exact_slots) for r in got) == Counter([(1, 1, True), (2, 1, False), (2, 1, False), (None, 1, False), (8, 1, True), (9, 1, False)])
     kept = decontaminate(docs_of(spark, rows), bench)
     assert kept.columns == SCHEMA.replace(",", "").split()[::2]
-    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 7, 9]
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 5, 6, 7]
     assert contaminated(docs_of(spark, []), bench).count() == 0
     assert decontaminate(docs_of(spark, rows), bench.limit(0)).count() == len(rows)
 
 
-def test_template_types():
-    from pennant.llm.decontaminate import NAME, NUM, UNIT
+def template(text):
+    """Word by word: [(token, plain, value or None)]."""
+    out, opening, before = [], True, 0
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        plain, kind, closes, low = word_class(word)
+        if plain:
+            if kind == NAME and opening or kind == UNIT and before != NUM:
+                kind = 0
+            before = kind
+            out.append((kind or plain, plain, low if kind else None))
+        opening = closes
+    return out
+
+
+def brute_windows(text):
+    found, n = template(text), 0
+    for i in range(max(1, len(found) - WINDOW + 1) if found else 0):
+        part = found[i : i + WINDOW]
+        bare = all(v is not None for _, _, v in part)
+        yield (tuple(p if bare else t for t, p, _ in part), i, [v for _, _, v in part])
+
+
+def brute_leaks(rows, items):
+    out = Counter()
+    mine = [(doc, list(brute_windows(text))) for doc, text in rows]
+    for item, text in items:
+        theirs = list(brute_windows(text))
+        size = len({w for w, _, _ in theirs})
+        for doc, windows in mine:
+            runs = {}
+            for w, i, got in windows:
+                for v, j, slots in theirs:
+                    if v == w:
+                        runs.setdefault(i - j, []).append((w, [(a, b) for a, b in zip(slots, got) if a is not None]))
+            held = {}
+            for run in runs.values():
+                count = Counter(p for _, pairs in run for p in pairs)
+                rank = {p: (n, p[0] == p[1], p[1], p[0]) for p, n in count.items()}
+                odd = {p for p in count if any((q[0] == p[0] or q[1] == p[1]) and rank[q] > rank[p] for q in count)}
+                for w, pairs in run:
+                    if not odd & set(pairs):
+                        held[w] = held.get(w, False) or all(x == y for x, y in pairs)
+            if held and len(held) >= SHARE * size:
+                out[doc, item, len(held), all(held.values())] += 1
+    return out
+
+
+def questions(rng, n):
+    names, things = "Anna Boston Peter Maria Denver Lima Otto Rosa Berlin Paris".split(), "train boat bus crate farm shop river tower garden school".split()
+    verbs, more = "sells carries holds needs finds builds moves counts paints cleans".split(), "quickly every morning while others wait near the old gate".split()
+    for i in range(n):
+        a, b = rng.sample(names, 2)
+        x, y, z = rng.sample(range(2, 400), 3)
+        yield i, (
+            f"The {rng.choice(things)} of {a} {rng.choice(verbs)} {x} km in {y} hours and then {rng.choice(verbs)} {rng.choice(more)} with {b} for {z} dollars . "
+            f"How many {rng.choice(things)}s does {a} have {rng.choice(more)} after {y} hours if {b} {rng.choice(verbs)} {rng.choice(more)} {x} {rng.choice(things)}s ?"
+        )
+
+
+def renamed(text, rng, odd):
+    """Each number and name as another, everywhere alike, but for ``odd`` of the numbers."""
+    other = {}
+    words = text.split()
+    for k, w in enumerate(words):
+        if w.isdigit():
+            words[k] = other.setdefault(w, str(rng.randint(500, 99_999)))
+        elif w[0].isupper() and k and words[k - 1] != ".":
+            words[k] = other.setdefault(w, rng.choice("Zoe Yves Xenia Walter Vera Udo Tom Sven".split()) + "abcdefghij"[len(other)])
+    for k in rng.sample([i for i, w in enumerate(words) if w.isdigit()], odd):
+        words[k] = str(rng.randint(100_000, 999_999))
+    return " ".join(words)
+
+
+def test_leaks_match_brute_force_and_edits_are_caught(spark):
+    rng = random.Random(8)
+    items = list(questions(rng, 40)) + [(100, "2 3 5 7 11 13 17"), (101, "Short one")]
+    noise = lambda n: " ".join(rng.choice("the of and to in is Anna 3 km that .".split()) + rng.choice(["", "", "x", ","]) for _ in range(n))
+    rows, planted = [], []
+    for i, text in items[:40]:
+        for odd in (0, 1):
+            planted.append((len(rows), i))
+            rows.append((len(rows), f"{noise(30)} . {renamed(text, rng, odd)} {noise(20)}"))
+    rows += [(1000 + k, noise(80)) for k in range(20)] + [(2000, "1 2 3 5 7 11 13 17 19"), (2001, "Short one"), (2002, None), (2003, items[3][1])]
+    ship_code(spark)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = contaminated(docs_of(spark, [(i, t, None) for i, t in rows]), bench).collect()
+    assert Counter((r.doc_id, r.item_id, r.n_windows, r.exact_slots) for r in got) == brute_leaks(rows, items)
+    caught = {(r.doc_id, r.item_id) for r in got}
+    assert sum(p in caught for p in planted) >= 0.9 * len(planted)
+    assert not any(1000 <= d < 1100 for d, _ in caught)
+
+
+def test_like_worded_items_meet_their_texts_only(spark):
+    items = [(i, f"What is the price of {i + 10} apples if one apple costs {i + 500} cents in the shop today ?") for i in range(300)]
+    ship_code(spark)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "What is the price of tea in the shop today ?", None), (2, items[7][1], None)]
+    got = contaminated(docs_of(spark, rows), bench).collect()
+    assert {r.doc_id for r in got} == {2} and [r.item_id for r in got if r.exact_slots] == [7]
 
-    tokens, _, slots = template("On Monday Anna ran 3.5 km (ten percent) in 20kg.")
-    assert [s for s in slots if s] == ["monday", "anna", "3.5", "km", "ten", "percent", "20kg"]
-    assert [int(t) for t, s in zip(tokens, slots) if s] == [NAME, NAME, NUM, UNIT, NUM, UNIT, NUM]
+
+def test_template_types():
+    text = "On Monday Anna ran 3.5 km (ten percent) in 20kg."
+    raw = np.frombuffer((text + "Ende km 5 km").encode(), np.uint8)
+    words = Words()
+    tokens, plains, row, index = templates(raw, np.asarray([0, len(text), len(raw)]), words)
+    slots = [words.rows[i][3] if t != p else None for t, p, i in zip(tokens, plains, index)]
+    assert [s for s in slots if s] == ["monday", "anna", "3.5", "km", "ten", "percent", "20kg", "5", "km"]
+    assert [int(t) for t, s in zip(tokens, slots) if s] == [NAME, NAME, NUM, UNIT, NUM, UNIT, NUM, NUM, UNIT]
+    assert row.tolist() == [0] * 10 + [1] * 4
+    assert [(t, v) for t, _, v in template(text)] == [(int(t), s) for t, s, r in zip(tokens, slots, row) if r == 0]
+
+
+def test_words_survive_when_their_memory_is_emptied(monkeypatch):
+    import pennant.llm.decontaminate as d
+
+    monkeypatch.setattr(d, "MEMORY_BYTES", 900)
+    words, rng = Words(), random.Random(4)
+    for _ in range(20):
+        text = " ".join(rng.choice("Anna 12 km the Of 7.5 percent und".split()) for _ in range(30))
+        raw = np.frombuffer(text.encode(), np.uint8)
+        tokens, plains, _, index = templates(raw, np.asarray([0, len(raw)]), words)
+        assert [(int(t), int(p)) for t, p in zip(tokens, plains)] == [(t, p) for t, p, _ in template(text)]
 
 
 @pytest.fixture(scope="module")
