@@ -17,13 +17,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the file format
 UNIGRAM, BPE = 1, 2  # model types of the file format
-CACHE_WORDS = 400_000
+CACHE_BYTES = 48 << 20  # of words that a task remembers
+CACHE_EDGES = 1 << 18  # of piece pairs
 UNKNOWN_PENALTY = 10.0
 
 
@@ -89,19 +91,27 @@ class Codec:
         alone = "".join(c for c in "\n\t\r" if c not in joined)  # no piece reaches across these
         end = re.escape(MARK + alone)
         self.splitter = re.compile(f"{MARK}+[^{end}]*|[^{end}]+" + (f"|[{re.escape(alone)}]" if alone else ""))
-        self.longest = max(map(len, self.ids), default=1)
         self.floor = min((self.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
-        self.allowed: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.sizes: dict[str, tuple[int, ...]] = {}  # of the pieces that end in two characters, the longest first
+        for p in self.ids:
+            if len(p) > 1:
+                self.sizes[p[-2:]] = (*self.sizes.get(p[-2:], ()), len(p))
+        self.sizes = {k: (*sorted(set(v), reverse=True), 1) for k, v in self.sizes.items()}
+        self._forget()
         self.text = [b"" if t in (CONTROL, UNKNOWN, UNUSED) else p.replace(MARK, " ").encode() for p, t in zip(self.pieces, self.types)]
         self.text[self.unknown] = " ⁇ ".encode()
         for value, i in self.bytes.items():
             self.text[i] = bytes([value])
 
     def __getstate__(self) -> dict:
-        state = dict(self.__dict__)
-        state.update(allowed={}, words={})
-        return state
+        return self.__dict__ | {"allowed": {}, "words": {}, "back": {}, "held": 0}
+
+    def _forget(self) -> None:
+        """The memory of a task: ids and decoded bytes of words, and which pieces may stand side by side."""
+        self.allowed: dict[tuple[str, str], bool] = {}
+        self.words: dict[str, bytes] = {}
+        self.back: dict[str, bytes] = {}
+        self.held = 0
 
     def _merged(self, text: str) -> list[str]:
         """Repeatedly join the neighbours of best score, leftmost first."""
@@ -121,13 +131,16 @@ class Codec:
         key = (before, piece)
         known = self.allowed.get(key)
         if known is None:
-            if len(self.allowed) >= 1 << 19:
+            if len(self.allowed) >= CACHE_EDGES:
                 self.allowed.clear()
             known = self.allowed[key] = self._merged(before + piece) == ([before, piece] if before else [piece])
         return known
 
-    def _ids(self, pieces: list[str]) -> bytes:
-        out: list[int] = []
+    def _ids(self, pieces: list[str]) -> list[int]:
+        out = list(map(self.ids.get, pieces))
+        if None not in out:
+            return out
+        out = []
         for p in pieces:
             found = self.ids.get(p)
             if found is not None:
@@ -136,14 +149,14 @@ class Codec:
                 out += [self.bytes[b] for b in p.encode()]
             elif not out or out[-1] != self.unknown or self.kind == BPE:  # unigram joins neighbours that are unknown
                 out.append(self.unknown)
-        return struct.pack(f"<{len(out)}i", *out)
+        return out
 
     def learn(self, words: Iterable[str]) -> None:
         """Forward scores of distinct words, in sorted order, kept along the common prefix of each two."""
         last: list[str] = [""]  # the piece that ends at each position
         score: list[float] = [0.0]
         before = ""
-        bpe, ids, longest = self.kind == BPE, self.ids, self.longest
+        bpe, ids, sizes, text = self.kind == BPE, self.ids, self.sizes, self.text
         for word in sorted(words):
             shared, n = 0, min(len(before), len(word))
             while shared < n and before[shared] == word[shared]:
@@ -151,7 +164,9 @@ class Codec:
             del last[shared + 1 :], score[shared + 1 :]
             for i in range(shared + 1, len(word) + 1):
                 best, piece = None, word[i - 1]
-                for size in range(min(i, longest), 0, -1):
+                for size in sizes.get(word[i - 2 : i], (1,)) if i > 1 else (1,):
+                    if size > i:
+                        continue
                     cut = word[i - size : i]
                     found = ids.get(cut)
                     if found is None and size > 1:
@@ -170,7 +185,10 @@ class Codec:
             while i:
                 path.append(last[i])
                 i -= len(last[i])
-            self.words[word] = self._ids(path[::-1])
+            found = self._ids(path[::-1])
+            self.words[word] = struct.pack(f"<{len(found)}i", *found)
+            self.back[word] = b"".join([text[k] for k in found])
+            self.held += _cost(word)
             before = word
 
     def marked(self, text: str) -> list[str]:
@@ -182,19 +200,38 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian int32; null and empty texts have none."""
+        return [b"".join(map(self.words.__getitem__, s)) for s in self._learned(texts)]
+
+    def both_ways(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """(ids, the bytes they decode to) per text. Decoding joins what pieces stand for, so a word is decoded once."""
+        ids, back = self.words.__getitem__, self.back.__getitem__
+        return [(b"".join(map(ids, s)), self._unmarked(b"".join(map(back, s)))) for s in self._learned(texts)]
+
+    def _learned(self, texts: list[str | None]) -> list[list[str]]:
         split = [self.marked(t or "") for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        self.learn({w for s in split for w in s} - self.words.keys())
-        get = self.words.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        here: set[str] = set()
+        for s in split:
+            here.update(s)
+        new = here.difference(self.words)
+        if self.held > CACHE_BYTES:  # what is met again stays
+            again = here - new
+            self.words, self.back = ({w: known[w] for w in again} for known in (self.words, self.back))
+            self.held = sum(map(_cost, again))
+        self.learn(new)
+        return split
+
+    def _unmarked(self, out: bytes) -> bytes:
+        return out[1:] if self.prefix and out[:1] == b" " else out
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD, the mark of the first word goes."""
-        out = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<i4").tolist()))
-        if self.prefix and out[:1] == b" ":
-            out = out[1:]
-        return out.decode("utf-8", "replace")
+        out = b"".join([self.text[i] for i in np.frombuffer(ids, "<i4").tolist()])
+        return self._unmarked(out).decode("utf-8", "replace")
+
+
+def _cost(word: str) -> int:
+    """Bytes that a remembered word takes, roughly."""
+    return 300 + 4 * len(word)
 
 
 def load(path: str) -> Codec:
@@ -214,22 +251,29 @@ def _groups(texts: list, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode(docs: DataFrame, codec: Codec, text_col: str = "text") -> DataFrame:
-    """(whole, ids array<int>, round_trip) per row: whether decoding gives the text back; null counts as empty."""
+def encode(docs: DataFrame, codec: Codec, text_col: str = "text", carried: list[str] | None = None) -> DataFrame:
+    """(whole, ids array<int>, round_trip) per row: whether decoding gives the text back; null counts as empty.
+
+    ``whole`` has the columns named in ``carried``, or all of them. Empty texts have no ids and come back as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(codec)  # a vocabulary: of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            text = b.column("text").to_pylist()
+            whole = b.column("whole")
+            text = (b.column("text") if carried is not None else pc.struct_field(whole, [b.schema.field("whole").type.get_field_index(text_col)])).to_pylist()
             for start, end in _groups(text):
-                got = shared.value.encode(text[start:end])
-                at = np.concatenate([[0], np.cumsum([len(g) // 4 for g in got])]).astype(np.int32)
-                flat = pa.array(np.frombuffer(b"".join(got), "<i4"), pa.int32())
+                got = shared.value.both_ways(text[start:end])
+                at = np.concatenate([[0], np.cumsum([len(g) // 4 for g, _ in got])]).astype(np.int32)
+                flat = pa.array(np.frombuffer(b"".join([g for g, _ in got]), "<i4"), pa.int32())
                 ids = pa.ListArray.from_arrays(pa.array(at), flat)
-                same = pa.array([shared.value.decode(g) == (t or "") for g, t in zip(got, text[start:end])], pa.bool_())
-                yield pa.RecordBatch.from_arrays([b.column("whole").slice(start, end - start), ids, same], ["whole", "ids", "round_trip"])
+                same = pa.array([d == (t or "").encode() for (_, d), t in zip(got, text[start:end])], pa.bool_())
+                yield pa.RecordBatch.from_arrays([whole.slice(start, end - start), ids, same], ["whole", "ids", "round_trip"])
+        shared.value._forget()
 
-    base = docs.select(F.struct("*").alias("whole"), F.col(text_col).alias("text"))
+    base = docs.select(F.struct("*").alias("whole"))
+    if carried is not None:
+        base = docs.select(F.struct(*carried).alias("whole"), F.col(text_col).alias("text"))
     schema = base.select("whole", F.array(F.lit(0)).alias("ids"), F.lit(True).alias("round_trip")).schema
     return base.mapInArrow(run, schema)
 
@@ -264,15 +308,16 @@ def round_trips(docs: DataFrame, codec: Codec, id_col: str = "doc_id", text_col:
         for b in batches:
             doc, text = b.column("doc_id"), b.column("text").to_pylist()
             for start, end in _groups(text):
-                got = codec.encode(text[start:end])
-                back = [codec.decode(g) for g in got]
-                rows = [
-                    (len(g) // 4, int(odd[np.frombuffer(g, "<i4")].sum()), hashlib.sha256(g).hexdigest(), hashlib.sha256(d.encode()).hexdigest(), d == (t or ""))
-                    for g, d, t in zip(got, back, text[start:end])
-                ]
+                rows = []
+                for (g, d), t in zip(codec.both_ways(text[start:end]), text[start:end]):
+                    same = d == (t or "").encode()
+                    if not same:
+                        d = d.decode("utf-8", "replace").encode()
+                    rows.append((len(g) // 4, int(odd[np.frombuffer(g, "<i4")].sum()), hashlib.sha256(g).hexdigest(), hashlib.sha256(d).hexdigest(), same))
                 columns = list(zip(*rows))
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
                 names = ["doc_id", "n_tokens", "n_fallback", "ids_sha256", "decoded_sha256", "round_trip"]
                 yield pa.RecordBatch.from_arrays([doc.slice(start, end - start), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
+        codec._forget()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, DIGEST)
