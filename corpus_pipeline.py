@@ -1,4 +1,8 @@
-"""Corpus pipeline: from raw documents to token ids, stage by stage."""
+"""Corpus pipeline: from raw documents to token ids, stage by stage.
+
+Every stage takes null ids, sources and languages, repeated rows, very long texts and empty tables, and returns the
+columns it got, but for the last. Documents without a letter (null and empty texts too) end at the first stage.
+"""
 
 from __future__ import annotations
 
@@ -17,34 +21,34 @@ from pennant.llm.sentencepiece_codec import encode, load
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised."""
+    """Documents whose language is recognised; text without letters has none."""
     ship_code(spark)
     return keep_known(docs)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each set of equal texts."""
+    """One document of each set of texts that are equal without white space: most code points, then smallest id, null last."""
     ship_code(spark)
     return exact_dedup(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked texts."""
+    """One document of each component of linked texts: the one of smallest id, null last. Wordless texts stay."""
     ship_code(spark)
     return one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none; an empty benchmark drops nothing."""
     ship_code(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids and whether decoding them gives the text back."""
+    """doc_id, lang, source, n_tokens, ids and whether decoding them gives the text back; no text, no ids."""
     ship_code(spark)
-    columns = ["whole.doc_id", "whole.lang", "whole.source", F.size("ids").alias("n_tokens"), "ids", "round_trip"]
-    return encode(docs, load(SENTENCEPIECE_MODEL)).select(*columns)
+    coded = encode(docs, load(SENTENCEPIECE_MODEL), carried=["doc_id", "lang", "source"])
+    return coded.select("whole.*", F.size("ids").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
