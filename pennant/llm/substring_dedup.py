@@ -390,7 +390,7 @@ def repeats(named: DataFrame, space: Space, id_col: str = "doc_id", text_col: st
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row of ``docs``; null is an empty text.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed, removed_share per row of ``docs``; null is an empty text.
 
     Texts under 400 bytes lose nothing. Rows with equal texts of 400 bytes or more lose all of it, whatever their ids.
     """
@@ -406,7 +406,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(left, "cls", "full")
     )
     nothing = F.unhex(F.sha2(F.lit(b""), 256))
-    return (
+    out = (
         rows.withColumn("cls", F.substring("sha", 1, 16)).join(changed, "cls", "left")
         .select(
             "doc_id", "n_bytes", F.when(F.col("gone"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
@@ -414,3 +414,5 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             F.lower(F.hex(F.when(F.col("gone"), nothing).otherwise(F.coalesce("kept", "sha")))).alias("kept_sha256"),
         )
     )
+    share = F.when(F.col("n_bytes") > 0, F.col("n_removed") / F.col("n_bytes")).otherwise(0.0)
+    return out.withColumns({"removed": F.col("n_removed") > 0, "removed_share": share})

@@ -159,7 +159,7 @@ def brute_removed(rows):
                 gone[i : i + 400] = b"\1" * 400
         kept = bytes(c for c, g in zip(t, gone) if not g)
         spans = sum(1 for i in range(len(t)) if gone[i] and (i == 0 or not gone[i - 1]))
-        out[doc, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest()] += 1
+        out[doc, len(t), sum(gone), spans, hashlib.sha256(kept).hexdigest(), any(gone), sum(gone) / len(t) if t else 0.0] += 1
     return out
 
 
