@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import files
 from checks import tables as t
 from pennant.functions import asc_last, desc_last, ordered_sum
 from pennant.operators import active, awards, cohorts, enrich, groups, leaders, ranking, rollups, streaks, value
@@ -297,3 +298,5 @@ QUERIES: dict[str, Query] = {
     "e5_islands": _islands,
     "a10_text_report": _text_report,
 }
+
+QUERIES |= files.QUERIES
