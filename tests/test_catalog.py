@@ -1,12 +1,19 @@
 """Raw files -> tables -> all reports, on a small made-up league."""
 
 import csv
+import os
 import random
-from collections import defaultdict
+import sys
+from collections import Counter, defaultdict
 from decimal import Decimal
 
+import duckdb
 import pytest
 
+sys.path.insert(0, os.path.dirname(__file__))
+
+import report_sql  # noqa: E402
+
 from pennant.operators import enrich, leaders
 from pennant.plans.catalog import CATALOG, Book, run_catalog, run_report
 from pennant.plans.reports import labelled, text_lines
@@ -131,6 +138,33 @@ def test_report_runs(book, name):
     df.collect()
 
 
+@pytest.fixture(scope="module")
+def database(folder):
+    con = duckdb.connect()
+    con.execute(report_sql.TABLES.format(folder=folder))
+    return con
+
+
+def _plain(v):
+    return round(float(v), 6) if isinstance(v, (float, Decimal)) else v
+
+
+@pytest.mark.parametrize("name", sorted(CATALOG))
+def test_report_values(book, database, name):
+    rows = run_report(book, name)
+    mine = Counter(tuple(_plain(r[c]) for c in sorted(rows.columns)) for r in rows.collect())
+    result = database.execute(report_sql.REPORTS[name])
+    columns = [c[0] for c in result.description]
+    assert sorted(columns) == sorted(rows.columns)
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    assert mine == Counter(tuple(_plain(r[i]) for i in order) for r in result.fetchall())
+
+
+def test_most_reports_have_rows(book, database):
+    empty = [name for name in CATALOG if not database.execute(report_sql.REPORTS[name]).fetchall()]
+    assert len(empty) < 30
+
+
 def test_season_and_career_leaders(book, league):
     seasons, careers = defaultdict(list), defaultdict(list)
     for key in _kept(league):
