@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ import sentencepiece
 from pennant.llm import sentencepiece_codec as sp
 from pennant.llm.common import ship_code
 from pennant.llm.decontaminate import NAME, NUM, SHARE, UNIT, WINDOW, Words, contaminated, decontaminate, templates, word_class
-from pennant.llm.html_extract import extract, main_text, min_cut
+from pennant.llm.html_extract import FEATURES, PRIOR, extract, fit, labels, main_text, min_cut, parse
 from pennant.llm.language_id import keep_known, languages
 from pennant.llm.lm_score import lm_scores
 from pennant.llm.quality import quality
@@ -365,6 +366,51 @@ def test_html_extract(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def test_min_cut_of_long_undecided_rows_is_quick():
+    rng = random.Random(6)
+    n = 20_000
+    odds = [rng.uniform(-0.6, 0.6) for _ in range(n)]
+    joins = [(i, i + 1, 0.5) for i in range(n - 1)] + [(i, i + 2, 0.7) for i in range(0, n - 2)]
+    began = time.process_time()
+    keep = min_cut(odds, joins)
+    assert time.process_time() - began < 60 and 0 < sum(keep) < n
+
+
+MENU = '<nav><a href="/">Home</a><a href="/x">More</a></nav>'
+STORY = "<h1>A long story</h1><p>It began in the morning, and nobody knew why.</p><p>Short.</p><p>Then, as the sun went down, all of it ended well.</p>"
+LINES = "A long story\nIt began in the morning, and nobody knew why.\nShort.\nThen, as the sun went down, all of it ended well."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="has-sidebar">{MENU}<article>{STORY}</article><div class="sidebar"><p>Other things you could read as well.</p></div></div>',
+        f'<form>{MENU}<article>{STORY}</article><footer>All rights reserved by someone.</footer></form>',
+        f'<div class="with-header"><div class="menu"><a href="/">Home</a></div><div>{STORY}</div><div class="footer">Nobody may copy any of this.</div></div>',
+        f'{MENU}<article>{STORY.replace("<h1>", "<div class=post-header><h1>").replace("</h1>", "</h1></div>")}</article>',
+        f'{MENU}<article>{STORY.replace("<p>Then", "<p title=\'a hidden door\' data-id=menu>Then")}</article>',
+        f'{MENU}<main>{STORY}</main><section id="comments"><article class="comment"><p>I liked this one very much, thank you all.</p></article></section>',
+        f'{MENU}<article>{STORY}<div class="share"><a href="/s">Share this</a></div><p hidden>You cannot see this, so it is not there.</p></article>',
+        f'<div class="ad">Buy one of these now, they are cheap.</div><article>{STORY}</article><div class="cookie-notice">We use cookies. You may say no.</div>',
+        f'<article>{STORY.replace("Short.", "Short.<!-- x --><script>var a = 1;</script><style>p{{}}</style>")}</article><aside>See also our other fine stories.</aside>',
+    ],
+)
+def test_frames_forms_and_attributes(page):
+    assert main_text(page) == LINES
+
+
+def test_white_space_is_ascii_white_space():
+    assert main_text("<article><p>one\t\n two\x0b&#9;three&nbsp;four\x1cfive\u2003six  </p></article>") == "one two three\u00a0four\x1cfive\u2003six"
+
+
+def test_deep_and_unclosed_pages_are_linear():
+    for page in ("<div>" * 100_000 + "<p>Down here, at last, is a sentence.</p>", "".join(f"<div><p>Sentence number {i} is here.</p>" for i in range(20_000)), "<p>x</div>" * 100_000, "</div>" * 100_000):
+        began = time.process_time()
+        parse(page)
+        main_text(page)
+        assert time.process_time() - began < 20
+
+
 def test_pages_of_the_test_tables(spark):
     """Each page's article, taken out by its tags."""
     import html
@@ -376,3 +422,35 @@ def test_pages_of_the_test_tables(spark):
         article = re.search(r"<article>(.*?)(?:</article>|$)", r.html, re.S)[1]
         parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", p.replace("<br>", " "))).split()) for p in re.split(r"</?(?:p|h1)>", article))
         assert got[r.page_id] == "\n".join(p for p in parts if p)
+
+
+def plain_page(page):
+    """The same page without anything that says what its parts are."""
+    page = re.sub(r"<(/?)(?:article|nav|footer|main|aside|header)[^>]*>", r"<\1div>", page)
+    return re.sub(r' class="[^"]*"', "", page)
+
+
+@pytest.mark.parametrize("tags", [True, False])
+def test_the_cut_where_pages_say_nothing(spark, tags):
+    """Blocks of the test pages without landmarks: the fitted classifier alone, and after the cut; also if it sees text only."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    weights = fit(pages[:100])
+    assert not np.allclose(weights, PRIOR)
+    if not tags:
+        weights[[FEATURES.index(f) for f in ("paragraph", "heading", "list_item", "division")]] = 0.0
+        weights[0] = -1.0
+    wrong = wrong_cut = changed = n = 0
+    for page in pages[100:]:
+        said, _, truth = labels(page, weights)
+        row, odds, keep = labels(plain_page(page), weights)
+        assert ["".join(b.text) for b in row] == ["".join(b.text) for b in said]
+        alone = (odds > 0).tolist()
+        n += len(row)
+        changed += sum(a != k for a, k in zip(alone, keep))
+        wrong += sum(a != t for a, t in zip(alone, truth))
+        wrong_cut += sum(k != t for k, t in zip(keep, truth))
+    print(f"of {n} labels the cut changes {changed}; wrong {wrong} before, {wrong_cut} after")
+    if tags:
+        assert wrong_cut < 0.05 * n
+    else:
+        assert changed > 0.1 * n and wrong_cut < 0.75 * wrong
