@@ -23,7 +23,7 @@ from pennant.llm.common import Space, components, numbered
 from pennant.llm.words import U, chunks, mix, shingle_sets
 
 NUMERATOR, DENOMINATOR = 75, 100  # linked: 100 * intersection >= 75 * union
-SHARED = 1  # first shingles that linked sets must share; one keeps the first shingles few and rare
+SHARED = 2  # first shingles that linked sets must share; unlike texts that share one by chance are many in a large corpus
 SKETCH = 1 << 20  # counters; 4 MB are sent to every task
 SKETCH_BLOCK = 1 << 14
 GROUP = 64  # nodes of a group at most, but for unevenly dealt ones
@@ -226,6 +226,18 @@ def _whole_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
 
 
+def _among(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The sets of these nodes, and hardly any other, so that few are moved."""
+    shared = sets.sparkSession.sparkContext.broadcast(_filter(nodes))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = mix(b.column("node").to_numpy().view(np.uint64)) % U(NODE_FILTER)
+            yield b.filter(pa.array((shared.value[(h >> U(3)).astype(np.int64)] >> (h & U(7)).astype(np.uint8)) & 1 == 1))
+
+    return sets.mapInArrow(pick, sets.schema)
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets are linked."""
 
@@ -318,7 +330,7 @@ def node_components(named: DataFrame, space: Space, id_col: str, text_col: str)
     pairs = space.write(pairs, "pairs")
     more = _ends(pairs).join(sets.select("node"), "node", "left_anti")
     more = space.write(_whole_sets(texts, space.write(more, "more")), "sets")
-    far = space.write(_linked(pairs, sets.union(more)), "far")
+    far = space.write(_linked(pairs, _among(sets, _ends(pairs)).union(more)), "far")
     merged = components(space, near.union(far))
     return rows.select("row", "id", "n", "node"), space.write(merged, "components", keep=True)
 
