@@ -200,12 +200,14 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian int32; null and empty texts have none."""
-        return [b"".join(map(self.words.__getitem__, s)) for s in self._learned(texts)]
+        split = self._learned(texts)
+        return [b"".join(map(self.words.__getitem__, s)) for s in split]
 
     def both_ways(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """(ids, the bytes they decode to) per text. Decoding joins what pieces stand for, so a word is decoded once."""
+        split = self._learned(texts)
         ids, back = self.words.__getitem__, self.back.__getitem__
-        return [(b"".join(map(ids, s)), self._unmarked(b"".join(map(back, s)))) for s in self._learned(texts)]
+        return [(b"".join(map(ids, s)), self._unmarked(b"".join(map(back, s)))) for s in split]
 
     def _learned(self, texts: list[str | None]) -> list[list[str]]:
         split = [self.marked(t or "") for t in texts]
