@@ -40,18 +40,43 @@ _NUMBER_WORDS = frozenset(
 _EDGE = re.compile(r"^[^\w%$€£°+-]+|[^\w%$€£°]+$")
 _CLOSES = re.compile(r"[.!?:;。][\"')\]]*$")
 _STEPS = mix(np.arange(1, WINDOW + 1, dtype=np.uint64))
-MEMORY_BYTES = 16 << 20  # of distinct words that a task remembers
+MEMORY_BYTES = 8 << 20  # of distinct odd words that a task remembers
 
+# Classes of bytes: letters of ASCII and Latin-1 (after 0xC3 in UTF-8) whose case can be told byte by byte, signs that stay
+# at a word's end, punctuation that goes.
+_UPPER, _LOWER = np.zeros(256, bool), np.zeros(256, bool)
+_UPPER[ord("A") : ord("Z") + 1] = _LOWER[ord("a") : ord("z") + 1] = True
+_UPPER_2, _LOWER_2 = np.zeros(256, bool), np.zeros(256, bool)  # second bytes; the signs for times and division are no letters
+_UPPER_2[0x80:0x9F], _LOWER_2[0x9F:0xC0] = True, True
+_UPPER_2[0x97] = _LOWER_2[0xB7] = False
+_SIGN, _GOES, _GOES_FIRST = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_SIGN[[ord("%"), ord("$")]] = True
+_GOES_FIRST[[ord(c) for c in "!\"#&'()*,./:;<=>?@[\\]^`{|}~"]] = True
+_GOES[:] = _GOES_FIRST
+_GOES[[ord("+"), ord("-")]] = True
+_STOP, _AFTER_STOP = np.zeros(256, bool), np.zeros(256, bool)
+_STOP[[ord(c) for c in ".!?:;"]] = True
+_AFTER_STOP[[ord(c) for c in "\"')]"]] = True
 
-def _plain_hash(token: str) -> int:
-    return int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
 
+def hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash per byte range."""
+    sums, inverse = prefix_sums(raw, EXACT)
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
-NUM, UNIT, NAME = (_plain_hash(x) for x in ("<num>", "<unit>", "<name>"))
 
+def plain_hashes(tokens: list[str]) -> np.ndarray:
+    data = [t.encode() for t in tokens]
+    edge = np.cumsum([0] + [len(d) for d in data])
+    return hashes(np.frombuffer(b"".join(data), np.uint8), edge[:-1], edge[1:])
 
-def word_class(word: str) -> tuple[int, int, bool, str]:
-    """(plain hash, or 0 for punctuation alone; placeholder it may be, or 0; whether it ends a sentence; its value)."""
+
+NUM, UNIT, NAME = (int(x) for x in plain_hashes(["<num>", "<unit>", "<name>"]))
+_UNIT_HASHES, _NUMBER_HASHES = np.sort(plain_hashes(sorted(UNITS))), np.sort(plain_hashes(sorted(_NUMBER_WORDS)))
+
+
+def word_class(word: str) -> tuple[str, int, bool]:
+    """(value, empty for punctuation alone; placeholder it may be, or 0; whether it ends a sentence)."""
     core = _EDGE.sub("", word)
     low = core.lower()
     number = _NUMBER.fullmatch(low)
@@ -63,57 +88,103 @@ def word_class(word: str) -> tuple[int, int, bool, str]:
         kind = UNIT
     else:
         kind = NAME if len(core) > 1 and core[0].isupper() and not core.isupper() else 0
-    return _plain_hash(low) if low else 0, kind, bool(_CLOSES.search(word)), low
+    return low, kind, bool(_CLOSES.search(word))
 
 
 class Words:
-    """Classes of distinct words by the hash of their bytes; emptied when it has grown to MEMORY_BYTES."""
+    """Classes of words. Words of plain letters, with punctuation around them, are told by arrays; any other word is looked at
+    once and remembered by the hash of its bytes, until its task's memory has grown to MEMORY_BYTES."""
 
     def __init__(self) -> None:
-        self.at: dict[int, int] = {}
-        self.rows: list[tuple[int, int, bool, str]] = []
+        self.at: dict[int, tuple[int, int, bool]] = {}
         self.bytes = 0
 
-    def classes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(plain, kind, closes, index into ``rows``) per word of a line of bytes."""
-        if self.bytes > MEMORY_BYTES:
-            self.__init__()
-        sums, inverse = prefix_sums(raw, EXACT)
-        names = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-        distinct, first, which = np.unique(names, return_index=True, return_inverse=True)
-        index = np.empty(len(distinct), np.int64)
-        for i, name in enumerate(distinct.tolist()):
-            at = self.at.get(name)
-            if at is None:
-                k = first[i]
-                word = raw[starts[k] : ends[k]].tobytes().decode()
-                at = self.at[name] = len(self.rows)
-                self.rows.append(word_class(word))
-                self.bytes += 300 + 2 * len(word)
-            index[i] = at
-        found = [self.rows[i] for i in index.tolist()]
-        plain = np.asarray([r[0] for r in found], np.uint64)[which]
-        kind = np.asarray([r[1] for r in found], np.uint64)[which]
-        return plain, kind, np.asarray([r[2] for r in found], bool)[which], index[which]
-
-
-def templates(raw: np.ndarray, at: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(token hash, plain hash, row, index of the word) of a line of texts; a token that is its plain hash is no slot.
+    def classes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(plain hash, or 0 for punctuation alone; kind; closes) per word of a line of bytes."""
+        if not len(starts):
+            none = np.zeros(0, np.uint64)
+            return none, none.copy(), np.zeros(0, bool)
+        lead = np.zeros(len(raw), bool)
+        lead[:-1] = raw[:-1] == 0xC3
+        second = np.zeros(len(raw), bool)
+        second[1:] = lead[:-1]
+        upper, lower = _UPPER[raw] | (second & _UPPER_2[raw]), _LOWER[raw] | (second & _LOWER_2[raw])
+        letter = upper | lower
+        letter[:-1] |= lead[:-1] & letter[1:] & second[1:]
+        folded = raw + (upper * np.uint8(32))
+        # a plain word: punctuation that goes, letters, signs, punctuation that goes
+        at = np.arange(len(raw) + 1)
+        first = np.minimum.accumulate(np.where(letter, at[:-1], len(raw))[::-1])[::-1][starts]
+        last = np.maximum.accumulate(np.where(letter, at[:-1], -1))[ends - 1]
+        known = (first < ends) & (last >= starts)
+        first, last = np.where(known, first, starts), np.where(known, last, starts)
+        sign_end = np.minimum.accumulate(np.where(_SIGN[raw], len(raw), at[:-1])[::-1])[::-1]  # the next byte that is no sign
+        sign_end = np.append(sign_end, len(raw))
+        stop = np.minimum(sign_end[last + 1], ends)
+
+        def all_of(mask: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            count = np.concatenate([[0], np.cumsum(mask)])
+            return count[high] - count[low] == high - low
+
+        known &= all_of(_GOES_FIRST[raw], starts, first) & all_of(letter, first, last + 1) & all_of(_GOES[raw], stop, ends)
+        plain = np.zeros(len(starts), np.uint64)
+        kind, closes = np.zeros(len(starts), np.uint64), np.zeros(len(starts), bool)
+        # letters: hash, case, lists
+        a, z = first[known], stop[known]
+        h = hashes(folded, a, z)
+        ups, lows = np.concatenate([[0], np.cumsum(upper)]), np.concatenate([[0], np.cumsum(lower)])
+        one = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # characters
+        n_up, n_low = ups[z] - ups[a], lows[z] - lows[a]
+        begins = ups[a + 1] - ups[a] + (lead[a] & (ups[np.minimum(a + 2, len(raw))] > ups[a]))
+        named = (one[z] - one[a] > 1) & (begins > 0) & ~((n_low == 0) & (n_up > 0))
+        k = np.where(named, U(NAME), U(0))
+        k[_in(h, _UNIT_HASHES)] = UNIT
+        k[_in(h, _NUMBER_HASHES)] = NUM
+        plain[known], kind[known] = h, k
+        tail = ends[known] - 1
+        while (moving := _AFTER_STOP[raw[tail]]).any():
+            tail = tail - moving
+        closes[known] = _STOP[raw[tail]]
+        # any other word
+        odd = np.flatnonzero(~known)
+        if len(odd):
+            if self.bytes > MEMORY_BYTES:
+                self.__init__()
+            names, where, which = np.unique(hashes(raw, starts[odd], ends[odd]), return_index=True, return_inverse=True)
+            new = [i for i, name in enumerate(names.tolist()) if name not in self.at]
+            words = [raw[starts[odd[where[i]]] : ends[odd[where[i]]]].tobytes().decode() for i in new]
+            found = [word_class(w) for w in words]
+            for i, w, c, p in zip(new, words, found, plain_hashes([c[0] for c in found]).tolist() if found else []):
+                self.at[int(names[i])] = (p if c[0] else 0, c[1], c[2])
+                self.bytes += 200
+            rows = [self.at[name] for name in names.tolist()]
+            plain[odd] = np.asarray([r[0] for r in rows], np.uint64)[which]
+            kind[odd] = np.asarray([r[1] for r in rows], np.uint64)[which]
+            closes[odd] = np.asarray([r[2] for r in rows], bool)[which]
+        return plain, kind, closes
+
+
+def _in(h: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    return listed[np.minimum(np.searchsorted(listed, h), len(listed) - 1)] == h
+
+
+def templates(raw: np.ndarray, at: np.ndarray, words: Words) -> tuple[np.ndarray, ...]:
+    """(token hash, plain hash, row, start, end) of a line of texts; a token that is its plain hash is no slot.
 
     A capitalised word inside a sentence is a name, at a sentence's start a plain word. A unit follows a number. Words that are
     punctuation alone are left out.
     """
     starts, ends, row = spans(raw, at)
-    plain, kind, closes, index = words.classes(raw, starts, ends)
+    plain, kind, closes = words.classes(raw, starts, ends)
     opening = np.ones(len(row), bool)
     opening[1:] = closes[:-1] | (row[1:] != row[:-1])
     kind[(kind == U(NAME)) & opening] = 0
     keep = plain != 0
-    plain, kind, row, index = plain[keep], kind[keep], row[keep], index[keep]
+    plain, kind, row, starts, ends = plain[keep], kind[keep], row[keep], starts[keep], ends[keep]
     after_number = np.zeros(len(row), bool)
     after_number[1:] = (kind[:-1] == U(NUM)) & (row[1:] == row[:-1])
     kind[(kind == U(UNIT)) & ~after_number] = 0
-    return np.where(kind != 0, kind, plain), plain, row, index
+    return np.where(kind != 0, kind, plain), plain, row, starts, ends
 
 
 def window_hashes(tokens: np.ndarray, plains: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,7 +249,7 @@ def _windows(rows: DataFrame, keep: object = None) -> DataFrame:
         words = Words()
         for b in batches:
             for start, _, raw, at in chunks(b.column("text")):
-                tokens, plains, row, index = templates(raw, at, words)
+                tokens, plains, row, starts, ends = templates(raw, at, words)
                 h, first, width = window_hashes(tokens, plains, row)
                 found = np.flatnonzero(keep.value.may_hold(h)) if keep is not None else np.arange(len(h))
                 if not len(found):
@@ -187,7 +258,8 @@ def _windows(rows: DataFrame, keep: object = None) -> DataFrame:
                 of = row[first]
                 place = first - np.searchsorted(row, of)  # within the text
                 slot = tokens != plains
-                slots = [[words.rows[index[k]][3] if slot[k] else None for k in range(i, i + w)] for i, w in zip(first.tolist(), width.tolist())]
+                value = lambda k: word_class(raw[starts[k] : ends[k]].tobytes().decode())[0] if slot[k] else None
+                slots = [[value(k) for k in range(i, i + w)] for i, w in zip(first.tolist(), width.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("key").take(pa.array(of + start)).cast(key_type), pa.array(h.view(np.int64)), pa.array(place, pa.int32()),
