@@ -357,6 +357,18 @@ def main_text(page: str | None, weights: np.ndarray = PRIOR) -> str:
     return "\n".join(x for x in lines if x)
 
 
+def _sample(base: DataFrame) -> list[str]:
+    """SAMPLE_PAGES different pages at most, of SAMPLE_BYTES at most each: those of smallest hash.
+
+    A share of the hashes that gives some four times as many is kept before anything is sorted, so that what tasks send does not
+    grow with their number; copies of one page are one.
+    """
+    parts = 1 << 30
+    share = min(parts, -(-4 * SAMPLE_PAGES * parts // max(1, base.count())))
+    some = base.select("html").where(F.octet_length("html").between(1, SAMPLE_BYTES) & (F.pmod(F.xxhash64("html"), F.lit(parts)) < share))
+    return [r.html for r in some.distinct().orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()]
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars per row of ``pages``; null html, and a page without content, give an empty text.
 
@@ -364,8 +376,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     not read. An empty table gives none.
     """
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    some = base.select("html").where(F.octet_length("html").between(1, SAMPLE_BYTES)).orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES)
-    weights = fit([r.html for r in some.collect()])  # SAMPLE_PAGES * SAMPLE_BYTES at most
+    weights = fit(_sample(base))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
