@@ -1,10 +1,14 @@
 """Scores of texts under a log-bilinear language model trained with noise-contrastive estimation.
 
 A context vector is the sum of the embeddings of the last words, each scaled by its distance; its products with
-the output embeddings, plus biases, are the scores of the frequent words, of the end and of "any other word". Their
-softmax is normalised, and another word gets its smoothed share of all other words, so a text's probability is a
-proper one. Counts cover all training documents; every training document is one pass of local training in its task,
-and the tasks' parameters are averaged, weighted by tokens.
+the output embeddings, plus biases, are the scores of classes: the end, TOP frequent words, and KINDS of all other
+words by how they end. Their softmax is normalised, and a word of a kind gets its smoothed share of that kind, seen or not,
+so that every word has a probability of its own and a text's probability is a proper one. Counts cover all training documents.
+
+Training does not depend on how the table is laid out: documents go to shards of some SHARD_TOKENS tokens by a hash, each
+shard is one pass of training in the order of that hash, and the shards' parameters are averaged, weighted by tokens, in a
+tree. All shards start from the same parameters, which the driver trains on WARM_DOCS whole documents, picked by hash among
+those of at most WARM_BYTES bytes.
 """
 
 from __future__ import annotations
@@ -18,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pennant.llm.common import Space, remainder
-from pennant.llm.words import chunks, hashed, spans
+from pennant.llm.words import U, chunks, hashed, mix, spans
 
-OUT_WORDS = 254  # with the end and the class of other words: the softmax
-CONTEXT_WORDS = 4094
+TOP, KINDS = 63, 64  # with the end: a softmax of 128 classes
+CLASSES = 1 + TOP + KINDS
+CONTEXT_WORDS = 4094  # words with an embedding of their own; others have that of their kind
 KNOWN_WORDS = 1 << 17  # most frequent words whose counts go to every task: 2 MB at most; the others are joined
 CONTEXT, DIMS, NOISE, BATCH = 5, 16, 48, 8192
-WARM_DOCS = 400  # documents of the driver's first training, which only sets where all tasks start
+WARM_DOCS, WARM_BYTES = 400, 20_000
+SHARD_TOKENS, FAN = 1 << 21, 32
 END = np.uint64(0x2545F4914F6CDD1D)
 PART_ROWS = 1 << 20
 
@@ -35,16 +41,17 @@ class Vocabulary:
 
     hashes: np.ndarray
     counts: np.ndarray
-    out: np.ndarray  # class in the softmax; the last class is any other word
+    out: np.ndarray  # class in the softmax
     context: np.ndarray
     tokens: int  # N
     types: int  # V
     class_counts: np.ndarray
+    class_types: np.ndarray
 
 
 @dataclass
 class LogBilinear:
-    embed: np.ndarray  # contexts x DIMS; the last two are other words and before the start
+    embed: np.ndarray  # contexts x DIMS; after the words their kinds, and what is before the start
     scale: np.ndarray  # CONTEXT x DIMS
     out: np.ndarray  # classes x DIMS
     bias: np.ndarray
@@ -60,33 +67,45 @@ class LogBilinear:
         return LogBilinear(*parts)
 
 
-def tokens(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, start of each text): the words of each text and one end."""
+def tokens(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, kinds, start of each text): the words of each text and one end. A word's kind is that of its last two bytes."""
     starts, ends, row = spans(raw, at)
     n = len(at) - 1
     per = np.bincount(row, minlength=n) if n else np.zeros(0, np.int64)
     first = np.concatenate([[0], np.cumsum(per + 1)]).astype(np.int64)
-    out = np.full(first[-1], END)
-    out[np.arange(len(row)) + row] = hashed(raw, starts, ends)
-    return out, first
+    place = np.arange(len(row)) + row
+    out, kinds = np.full(first[-1], END), np.zeros(first[-1], np.int64)
+    out[place] = hashed(raw, starts, ends)
+    last = raw[ends - 1].astype(np.int64)
+    before = np.where(ends - starts > 1, raw[np.maximum(ends - 2, 0)], 0).astype(np.int64)
+    kinds[place] = _KIND[_FOLD[last] * 256 + _FOLD[before]]
+    return out, kinds, first
+
+
+_FOLD = np.arange(256)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+_KIND = (mix(np.arange(1 << 16, dtype=np.uint64) + END) % U(KINDS)).astype(np.int64)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) partial counts, combined over a task as far as PART_ROWS distinct words."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """(word, kind, n) partial counts, combined over a task as far as PART_ROWS distinct words."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        words, place = np.unique(np.concatenate([h for h, _ in held]), return_inverse=True)
-        return words, np.bincount(place, weights=np.concatenate([n for _, n in held])).astype(np.int64)
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        words, one, place = np.unique(np.concatenate([h for h, _, _ in held]), return_index=True, return_inverse=True)
+        n = np.bincount(place, weights=np.concatenate([n for _, _, n in held])).astype(np.int64)
+        return words, np.concatenate([k for _, k, _ in held])[one], n
 
-    def batch(words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], ["word", "n"])
+    def batch(words: np.ndarray, kinds: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(kinds, pa.int32()), pa.array(n)], ["word", "kind", "n"])
 
     size = 0
     for b in batches:
         for _, _, raw, at in chunks(b.column("text")):
-            held.append(np.unique(tokens(raw, at)[0], return_counts=True))
-            size += len(held[-1][0])
+            token, kind, _ = tokens(raw, at)
+            words, one, n = np.unique(token, return_index=True, return_counts=True)
+            held.append((words, kind[one], n))
+            size += len(words)
             if size > 2 * PART_ROWS:
                 held = [merged()]
                 size = len(held[0][0])
@@ -98,21 +117,27 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From (word, n) of all training tokens; only the KNOWN_WORDS most frequent come to the driver."""
+    """From (word, kind, n) of all training tokens; only the KNOWN_WORDS most frequent and sums per kind come to the driver."""
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     top = counts.orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).toArrow()
     words = top.column("word").to_numpy().view(np.uint64)
-    n = top.column("n").to_numpy().astype(np.int64)
+    n, kind = top.column("n").to_numpy().astype(np.int64), top.column("kind").to_numpy().astype(np.int64)
     place = np.flatnonzero(words != END)  # ranks of words proper
-    classes = np.full(len(words), OUT_WORDS + 1)
-    contexts = np.full(len(words), CONTEXT_WORDS)
-    classes[place[:OUT_WORDS]] = np.arange(1, len(place[:OUT_WORDS]) + 1)
+    classes, contexts = 1 + TOP + kind, CONTEXT_WORDS + kind
+    class_counts, class_types = np.zeros(CLASSES), np.zeros(CLASSES)
+    end = int(END.view(np.int64))
+    for r in counts.where(F.col("word") != end).groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
+        class_counts[1 + TOP + r.kind], class_types[1 + TOP + r.kind] = r.n, r.v
+    own = place[:TOP]  # these leave their kind
+    np.subtract.at(class_counts, classes[own], n[own])
+    np.subtract.at(class_types, classes[own], 1)
+    classes[own] = np.arange(1, len(own) + 1)
     contexts[place[:CONTEXT_WORDS]] = np.arange(len(place[:CONTEXT_WORDS]))
     classes[words == END] = 0
-    class_counts = np.bincount(classes, weights=n, minlength=OUT_WORDS + 2).astype(np.float64)
-    class_counts[-1] += (total.n or 0) - n.sum()
+    class_counts[1 : 1 + len(own)] = n[own]
+    class_counts[0] = n[words == END].sum()
     order = np.argsort(words)
-    return Vocabulary(words[order], n[order], classes[order], contexts[order], total.n or 0, total.v, class_counts)
+    return Vocabulary(words[order], n[order], classes[order], contexts[order], total.n or 0, total.v, class_counts, class_types)
 
 
 def look_up(v: Vocabulary, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,16 +150,17 @@ def look_up(v: Vocabulary, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return found, np.where(found, v.counts[at], 0), at
 
 
-def contexts(v: Vocabulary, token: np.ndarray, first: np.ndarray, at: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def contexts(v: Vocabulary, token: np.ndarray, kind: np.ndarray, first: np.ndarray, at: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class, contexts): softmax class of each token and the context ids of the CONTEXT tokens before it."""
     n = len(token)
-    y = np.where(found, v.out[at], OUT_WORDS + 1) if len(v.hashes) else np.full(n, OUT_WORDS + 1)
+    known = len(v.hashes) > 0
+    y = np.where(found, v.out[at], 1 + TOP + kind) if known else 1 + TOP + kind
     y = np.where(token == END, 0, y)
-    ids = (np.where(found, v.context[at], CONTEXT_WORDS) if len(v.hashes) else np.full(n, CONTEXT_WORDS)).astype(np.uint16)
+    ids = (np.where(found, v.context[at], CONTEXT_WORDS + kind) if known else CONTEXT_WORDS + kind).astype(np.uint16)
     inside = np.arange(n) - np.repeat(first[:-1], np.diff(first))
-    c = np.full((CONTEXT, n), CONTEXT_WORDS + 1, np.uint16)
+    c = np.full((CONTEXT, n), CONTEXT_WORDS + KINDS, np.uint16)
     for j in range(1, CONTEXT + 1):
-        c[j - 1, j:] = np.where(inside[j:] >= j, ids[:-j] if j < n else ids[:0], CONTEXT_WORDS + 1)
+        c[j - 1, j:] = np.where(inside[j:] >= j, ids[:-j] if j < n else ids[:0], CONTEXT_WORDS + KINDS)
     return y, c
 
 
@@ -142,8 +168,8 @@ def start_model(v: Vocabulary, seed: int = 5) -> LogBilinear:
     rng = np.random.default_rng(seed)
     share = (v.class_counts + 0.5) / (v.class_counts + 0.5).sum()
     return LogBilinear(
-        rng.normal(0, 0.3, (CONTEXT_WORDS + 2, DIMS)).astype(np.float32), np.ones((CONTEXT, DIMS), np.float32),
-        rng.normal(0, 0.1, (OUT_WORDS + 2, DIMS)).astype(np.float32), np.log(share).astype(np.float32),
+        rng.normal(0, 0.3, (CONTEXT_WORDS + KINDS + 1, DIMS)).astype(np.float32), np.ones((CONTEXT, DIMS), np.float32),
+        rng.normal(0, 0.1, (CLASSES, DIMS)).astype(np.float32), np.log(share).astype(np.float32),
     )
 
 
@@ -213,17 +239,19 @@ def log_probabilities(m: LogBilinear, y: np.ndarray, c: np.ndarray, block: int =
     return out
 
 
-def _average(tasks: DataFrame) -> np.ndarray | None:
-    """Token-weighted mean of the tasks' parameters, summed in a tree of bounded fan-in."""
+def _average(shards: DataFrame, n: int) -> np.ndarray | None:
+    """Token-weighted mean of the shards' parameters, summed in a tree of FAN shards a node, in a fixed order."""
 
     def add(table: pa.Table) -> pa.Table:
-        w = table.column("weight").to_pylist()
+        table = table.sort_by("part")
         total = sum(np.frombuffer(p, np.float64) for p in table.column("sums").to_pylist())
-        return pa.table({"part": [table.column("part")[0].as_py()], "weight": [float(sum(w))], "sums": [total.tobytes()]})
+        weight = float(sum(table.column("weight").to_pylist()))
+        return pa.table({"part": [table.column("part")[0].as_py() // FAN], "weight": [weight], "sums": [total.tobytes()]})
 
-    for width in (4096, 64, 1):
-        tasks = tasks.withColumn("part", F.pmod("part", F.lit(width))).groupBy("part").applyInArrow(add, tasks.schema)
-    found = tasks.first()
+    while n > 1:
+        shards = shards.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(add, "part long, weight double, sums binary")
+        n = -(-n // FAN)
+    found = shards.first()
     return None if found is None or not found.weight else np.frombuffer(found.sums, np.float64) / found.weight
 
 
@@ -232,39 +260,36 @@ def train(learn_from: DataFrame, v: Vocabulary) -> LogBilinear:
     context = learn_from.sparkSession.sparkContext
     share = (v.class_counts + 0.5) / (v.class_counts + 0.5).sum()
     model = start_model(v)
-    n_docs = float(v.class_counts[0])
-    if not n_docs:
+    if not v.class_counts[0]:
         return model
-    unit = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    warm = learn_from.where(unit < min(1.0, WARM_DOCS / n_docs)).select("id", F.substring("text", 1, 4000).alias("text"))
-    rows = sorted((r.id, r.text or "") for r in warm.collect())
+    key = F.xxhash64("id", "text")
+    warm = learn_from.where(F.octet_length("text") <= WARM_BYTES).select(key.alias("key"), "text").orderBy("key", "text").limit(WARM_DOCS)
+    rows = [r.text.encode() for r in warm.collect()]
     trainer = Trainer(model, share, rate=0.1)
     if rows:
-        t = [x.encode() for _, x in rows]
-        token, first = tokens(np.frombuffer(b"".join(t), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in t])]).astype(np.int64))
+        token, kind, first = tokens(np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int64))
         found, _, at = look_up(v, token)
-        y, c = contexts(v, token, first, at, found)
+        y, c = contexts(v, token, kind, first, at, found)
         for _ in range(4):
             for i in range(0, len(y), 2048):
                 trainer._batch(y[i : i + 2048], c[:, i : i + 2048])
     begun = trainer.m
     shared = context.broadcast((begun, v, share))
+    n = max(1, -(-v.tokens // SHARD_TOKENS))
 
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def local(table: pa.Table) -> pa.Table:
         model, v, share = shared.value
-        own, part = Trainer(model, share), 0
-        for b in batches:
-            part = int(b.column("part")[0].as_py()) if b.num_rows else part
-            for _, _, raw, at in chunks(b.column("text"), 1 << 20):
-                token, first = tokens(raw, at)
-                found, _, place = look_up(v, token)
-                own.learn(*contexts(v, token, first, place, found))
-        if own.seen:
-            sums = own.m.flat().astype(np.float64) * own.seen
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([float(own.seen)]), pa.array([sums.tobytes()])], ["part", "weight", "sums"])
-
-    tasks = learn_from.select(F.spark_partition_id().cast("long").alias("part"), "text").mapInArrow(local, "part long, weight double, sums binary")
-    mean = _average(tasks)
+        own, part = Trainer(model, share), table.column("part")[0].as_py()
+        texts = table.sort_by([("key", "ascending"), ("text", "ascending")]).column("text").combine_chunks()
+        for _, _, raw, at in chunks(texts, 1 << 20):
+            token, kind, first = tokens(raw, at)
+            found, _, place = look_up(v, token)
+            own.learn(*contexts(v, token, kind, first, place, found))
+        sums = own.m.flat().astype(np.float64) * own.seen
+        return pa.table({"part": pa.array([part], pa.int64()), "weight": [float(own.seen)], "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    dealt = learn_from.select(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(n)).alias("part"), key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    mean = _average(dealt.groupBy("part").applyInArrow(local, "part long, weight double, sums binary"), n)
     return begun if mean is None else begun.like(mean)
 
 
@@ -285,7 +310,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     learn_from = base.where(fold != 1).select(F.col("doc_id").alias("id"), "text")
     space = Space(spark)
     counts = space.write(
-        learn_from.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts", keep=True
+        learn_from.select("text").mapInArrow(_count_words, "word long, kind int, n long").groupBy("word").agg(F.sum("n").alias("n"), F.min("kind").alias("kind")), "counts", keep=True
     )
     v = vocabulary(counts)
     model = train(learn_from, v)
@@ -294,15 +319,15 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, v = shared.value
         denominator = np.log10(v.tokens + 0.5 * (v.types + 1))
-        rest = v.class_counts[-1] + 0.5 * (v.types - np.count_nonzero(v.out <= OUT_WORDS) + 1)
+        # what a word's smoothed count is a share of: its kind, with one place for unseen words; nothing for a class of one
+        whole = np.where(np.arange(CLASSES) > TOP, np.log10(v.class_counts + 0.5 * (v.class_types + 1)), 0.0)
         for b in batches:
             for start, end, raw, at in chunks(b.column("text"), 1 << 20):
-                token, first = tokens(raw, at)
+                token, kind, first = tokens(raw, at)
                 found, n, place = look_up(v, token)
-                y, c = contexts(v, token, first, place, found)
+                y, c = contexts(v, token, kind, first, place, found)
                 smoothed = np.where(found, np.log10(n + 0.5), 0.0)
-                other = y == OUT_WORDS + 1
-                got = log_probabilities(model, y, c) / np.log(10) + other * (smoothed - np.log10(rest))
+                got = log_probabilities(model, y, c) / np.log(10) + (y > TOP) * smoothed - whole[y]
                 tail = ~found & (token != END)
                 lone = ~found & (token == END)  # no training document
                 smoothed[lone] = np.log10(0.5)

@@ -297,6 +297,60 @@ def test_quality(spark, two_tongues):
     assert {r.good for r in quality(docs, labels.limit(0)).collect()} == {True}
 
 
+def test_lm_is_normalised_and_learns_from_context():
+    """Over all words of a small vocabulary and one unseen word of each kind, probabilities after any context sum to 1."""
+    import pennant.llm.lm_score as lm
+
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 5))) for _ in range(400)]
+    lines = [" ".join(rng.choice(words[:40] if i % 2 else words[200:]) for _ in range(30)) for i in range(200)]
+    raw = np.frombuffer("".join(lines).encode(), np.uint8)
+    at = np.concatenate([[0], np.cumsum([len(x) for x in lines])])
+    token, kind, first = lm.tokens(raw, at)
+    distinct, one, n = np.unique(token, return_index=True, return_counts=True)
+
+    order = sorted(zip((-n).tolist(), distinct.view(np.int64).tolist(), kind[one].tolist()))
+    words_of = np.asarray([r[1] for r in order], np.int64).view(np.uint64)
+    counts, kinds = np.asarray([-r[0] for r in order]), np.asarray([r[2] for r in order])
+    place = np.flatnonzero(words_of != lm.END)
+    classes = 1 + lm.TOP + kinds
+    class_counts, class_types = np.zeros(lm.CLASSES), np.zeros(lm.CLASSES)
+    classes[place[: lm.TOP]] = np.arange(1, lm.TOP + 1)
+    classes[words_of == lm.END] = 0
+    np.add.at(class_counts, classes, counts)
+    np.add.at(class_types, classes, 1)
+    by = np.argsort(words_of)
+    contexts = np.arange(len(words_of))
+    v = lm.Vocabulary(words_of[by], counts[by], classes[by], contexts[by], int(counts.sum()), len(counts), class_counts, class_types)
+    trainer = lm.Trainer(lm.start_model(v), (class_counts + 0.5) / (class_counts + 0.5).sum(), rate=0.1)
+    found, _, where = lm.look_up(v, token)
+    y, c = lm.contexts(v, token, kind, first, where, found)
+    for _ in range(10):
+        for i in range(0, len(y), 512):
+            trainer._batch(y[i : i + 512], c[:, i : i + 512])
+    after = c[:, [3, 700, 2000]]
+    total = np.zeros(3)
+    share = np.zeros(lm.CLASSES)
+    np.add.at(share, classes, np.where(classes > lm.TOP, (counts + 0.5), 1.0))
+    share[lm.TOP + 1 :] += 0.5  # an unseen word
+    share[lm.TOP + 1 :] /= class_counts[lm.TOP + 1 :] + 0.5 * (class_types[lm.TOP + 1 :] + 1)
+    for k in range(lm.CLASSES):
+        total += np.exp(lm.log_probabilities(trainer.m, np.full(3, k), after)) * share[k]
+    assert np.allclose(total, 1, atol=1e-4)
+    brute = [math.exp(sum((trainer.m.embed[after[j, 0]] * trainer.m.scale[j]).astype(float) for j in range(lm.CONTEXT)) @ trainer.m.out[k].astype(float) + trainer.m.bias[k]) for k in range(lm.CLASSES)]
+    assert math.isclose(math.log(brute[5] / sum(brute)), lm.log_probabilities(trainer.m, np.asarray([5]), after[:, :1])[0], abs_tol=1e-4)
+    prior = np.log(class_counts[y] / class_counts.sum())
+    assert lm.log_probabilities(trainer.m, y, c).mean() > prior.mean() + 0.3
+
+
+def test_lm_beats_the_base_on_held_out_text(spark):
+    got = lm_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out").collect()
+    n = sum(r.n_tokens for r in got)
+    model, base = sum(r.score for r in got) / n, sum(r.base_score for r in got) / n
+    print(f"held out, log10 a token: model {model:.3f}, base {base:.3f}")
+    assert model > base + 0.1
+
+
 def test_lm_scores(spark, two_tongues):
     rows = two_tongues + [(None, "the and", "aa"), (900, None, "aa"), (901, "", "aa"), (902, "never seen words only", None), (3, two_tongues[3][1], None), (903, "the und " * 9000, None)]
     got = lm_scores(docs_of(spark, rows)).collect()
