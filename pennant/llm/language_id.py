@@ -122,20 +122,22 @@ def _runs(row: np.ndarray) -> list[tuple[int, int]]:
 
 
 def training_rows(docs: DataFrame, per_lang: int, id_col: str, text_col: str, lang_col: str, fold: int = 4, held: int = 2) -> DataFrame:
-    """(lang, text): for each language about ``per_lang`` documents, chosen by id hash, outside the held-out fold."""
+    """(lang, text): for each language about ``per_lang`` documents, chosen by the hash of id and text, outside the held-out
+    fold. An id that very many rows share is chosen text by text."""
     usable = docs.where((remainder(F.col(id_col), fold) != held) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     sizes = usable.groupBy(F.col(lang_col).alias("lang")).count().collect()  # a row per language
     share = F.coalesce(*(F.when(F.col(lang_col) == r.lang, F.lit(min(1.0, per_lang / r["count"]))) for r in sizes), F.lit(0.0))
-    unit = F.pmod(F.xxhash64(id_col, F.lit(11)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    unit = F.pmod(F.xxhash64(id_col, text_col, F.lit(11)), F.lit(1 << 20)) / F.lit(float(1 << 20))
     return usable.where(unit < share).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
 
 def fit(docs: DataFrame, per_lang: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_bytes: int = 4000) -> ByteCNN:
-    """Train on about ``per_lang`` documents of each language (a bounded sample by id hash) and at most
+    """Train on about ``per_lang`` documents of each language (a bounded sample by hash, equal texts once) and at most
     ``most_bytes`` from the middle of each; predictions read whole texts."""
     rows = training_rows(docs, per_lang, id_col, text_col, lang_col)
     middle = F.greatest(F.lit(1), F.floor((F.length("text") - most_bytes) / 2)).cast("int")
-    got = sorted((r.lang, r.text) for r in rows.select("lang", F.substring(F.col("text"), middle, F.lit(most_bytes)).alias("text")).collect())
+    slim = rows.select("lang", F.substring(F.col("text"), middle, F.lit(most_bytes)).alias("text")).distinct()  # copies are one
+    got = sorted((r.lang, r.text) for r in slim.collect())
     return train([t.encode() for _, t in got], [x for x, _ in got])
 
 

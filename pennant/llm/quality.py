@@ -191,7 +191,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> CoTrained:
                     [part.column("doc_id").slice(start, end - start), pa.array(marks, pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "y", "x"]
                 )
 
-    got = docs.withColumn("unit", _unit("doc_id", 6)).mapInArrow(features, "doc_id long, y int, x binary").toArrow()
+    unit = F.pmod(F.xxhash64("doc_id", "text", F.lit(6)), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    picked = docs.withColumn("unit", unit).mapInArrow(features, "doc_id long, y int, x binary")
+    got = picked.select("y", "x").distinct().toArrow()  # copies are one, and an id that many rows share is picked text by text
     rows = got.column("x").to_pylist()
     order = sorted(range(len(rows)), key=rows.__getitem__)  # whatever order the tasks ended in
     x = np.frombuffer(b"".join(rows), np.float32).reshape(-1, TEXT_DIMS + META_DIMS)[order]

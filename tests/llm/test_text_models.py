@@ -524,3 +524,17 @@ def test_the_cut_where_pages_say_nothing(spark, tags):
         assert wrong_cut < 0.05 * n
     else:
         assert changed > 0.1 * n and wrong_cut < 0.75 * wrong
+
+
+def test_url_filter_grows_with_its_list(spark):
+    from pennant.llm import url_filter as u
+
+    assert [u.blocks_for(n) for n in (0, 5, 4096, 4097, 1_000_000)] == [1024, 1024, 1024, 2048, 1 << 18]
+    rules = spark.range(20_000).selectExpr("'block' AS verdict", "concat('h', id, '.org') AS host", "'/' AS path")
+    pages = spark.range(30_000).selectExpr("id AS page_id", "concat('http://www.h', id, '.org/x') AS url")
+    got = u.url_verdicts(pages, rules)
+    assert got.where("verdict = 'block'").count() == 20_000 and got.where("rule IS NULL").count() == 10_000
+    blocks = u.blocks_for(20_000)
+    listed = rules.selectExpr("concat_ws('\\0', host, path) AS key")
+    full = u.bloom(listed, blocks).selectExpr("sum(bit_count(bits)) AS n").first().n
+    assert full < 0.4 * 64 * blocks
