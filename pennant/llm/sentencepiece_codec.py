@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types of the file format
 UNIGRAM, BPE = 1, 2  # model types of the file format
-CACHE_BYTES = 48 << 20  # of words that a task remembers
+CACHE_BYTES = 80 << 20  # of words that a task remembers
 CACHE_EDGES = 1 << 18  # of piece pairs
 UNKNOWN_PENALTY = 10.0
 
@@ -102,6 +102,7 @@ class Codec:
         self.text[self.unknown] = " ⁇ ".encode()
         for value, i in self.bytes.items():
             self.text[i] = bytes([value])
+        self._merge_trees()
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"allowed": {}, "words": {}, "back": {}, "held": 0}
@@ -113,10 +114,46 @@ class Codec:
         self.back: dict[str, bytes] = {}
         self.held = 0
 
-    def _merged(self, text: str) -> list[str]:
-        """Repeatedly join the neighbours of best score, leftmost first."""
+    def _merge_trees(self) -> None:
+        """Which two pieces merging makes each piece of last, for pieces that it makes, from pieces of better score.
+
+        ``turn`` is the place of a piece's score in the order of scores.
+        """
+        self.turn: dict[str, int] = {}
+        self.tree: dict[str, tuple[str, str]] = {}
+        if self.kind != BPE:
+            return
+        order = sorted((p for p in self.ids if len(p) > 1), key=lambda p: -self.scores[self.ids[p]])
+        places = {score: k for k, score in enumerate(sorted({-self.scores[self.ids[p]] for p in order}))}
+        self.turn = {p: places[-self.scores[self.ids[p]]] for p in order}
+        for p in order:
+            last = self._merged(p, 2)
+            ready = all(x in self.ids if len(x) == 1 else x in self.tree and self.turn[x] <= self.turn[p] for x in last)
+            if len(last) == 2 and ready and self._merged(p) == [p]:
+                self.tree[p] = (last[0], last[1])
+
+    def _apart(self, left: str, right: str) -> bool:
+        """Whether merging leaves two pieces side by side that have trees or are single characters.
+
+        Their merges are undone from the last to the first. Whatever two pieces meet at the border in between must not be a
+        piece that would be made before the merge that was undone there; of equal ones the left one is made first.
+        """
+        turn, tree, limit = self.turn, self.tree, len(self.turn)
+        while True:
+            if turn.get(left + right, limit) < limit:
+                return False
+            a, b = (turn[x] if x in tree else -1 for x in (left, right))
+            if a > b:
+                limit, left = a, tree[left][1]
+            elif b >= 0:
+                limit, right = b + 1, tree[right][0]
+            else:
+                return True
+
+    def _merged(self, text: str, least: int = 1) -> list[str]:
+        """Repeatedly join the neighbours of best score, leftmost first, until ``least`` are left."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > least:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 piece = self.ids.get(parts[i] + parts[i + 1])
@@ -133,7 +170,11 @@ class Codec:
         if known is None:
             if len(self.allowed) >= CACHE_EDGES:
                 self.allowed.clear()
-            known = self.allowed[key] = self._merged(before + piece) == ([before, piece] if before else [piece])
+            if before and all(x in self.tree or len(x) == 1 and x in self.ids for x in key):
+                known = self._apart(before, piece)
+            else:
+                known = self._merged(before + piece) == ([before, piece] if before else [piece])
+            self.allowed[key] = known
         return known
 
     def _ids(self, pieces: list[str]) -> list[int]:
@@ -155,8 +196,8 @@ class Codec:
         """Forward scores of distinct words, in sorted order, kept along the common prefix of each two."""
         last: list[str] = [""]  # the piece that ends at each position
         score: list[float] = [0.0]
-        before = ""
-        bpe, ids, sizes, text = self.kind == BPE, self.ids, self.sizes, self.text
+        before, one = "", (1,)
+        bpe, ids, sizes, text, allowed = self.kind == BPE, self.ids, self.sizes, self.text, self.allowed
         for word in sorted(words):
             shared, n = 0, min(len(before), len(word))
             while shared < n and before[shared] == word[shared]:
@@ -164,19 +205,20 @@ class Codec:
             del last[shared + 1 :], score[shared + 1 :]
             for i in range(shared + 1, len(word) + 1):
                 best, piece = None, word[i - 1]
-                for size in sizes.get(word[i - 2 : i], (1,)) if i > 1 else (1,):
+                for size in sizes.get(word[i - 2 : i], one) if i > 1 else one:
                     if size > i:
                         continue
                     cut = word[i - size : i]
-                    found = ids.get(cut)
-                    if found is None and size > 1:
+                    if size > 1 and cut not in ids:
                         continue
-                    if bpe:
-                        if self._edge(last[i - size], cut):
-                            best, piece = 0.0, cut
+                    if bpe:  # one path is left: a piece that may follow the piece before it
+                        edge = (last[i - size], cut)
+                        known = allowed.get(edge)
+                        if self._edge(*edge) if known is None else known:
+                            piece = cut
                             break
                         continue
-                    total = score[i - size] + (self.floor if found is None else self.scores[found])
+                    total = score[i - size] + (self.floor if cut not in ids else self.scores[ids[cut]])
                     if best is None or total > best:
                         best, piece = total, cut
                 last.append(piece)

@@ -51,6 +51,18 @@ def test_encoding_equals_the_library(codec, sf_texts):
     assert [codec.decode(x) for x in codec.encode(texts)] == library.decode(library.encode(texts))
 
 
+def test_borders_that_merging_leaves(codec):
+    """By undoing merges, against merging; pieces at random, and pairs of short ones."""
+    rng = random.Random(12)
+    pieces = [p for p in codec.ids if p in codec.tree or len(p) == 1]
+    assert len(codec.tree) > 20_000
+    pairs = [(rng.choice(pieces), rng.choice(pieces)) for _ in range(20_000)]
+    short = [p for p in pieces if len(p) < 4 and all(c.isascii() for c in p)]
+    pairs += [(rng.choice(short), rng.choice(short)) for _ in range(60_000)] + [(a, a) for a in short[:3000]]
+    wrong = [(a, b) for a, b in pairs if codec._apart(a, b) != (codec._merged(a + b) == [a, b])]
+    assert not wrong
+
+
 def test_encoding_survives_when_its_memory_is_full(sf_texts, monkeypatch):
     monkeypatch.setattr(sp, "CACHE_BYTES", 20_000)
     monkeypatch.setattr(sp, "CACHE_EDGES", 50)
