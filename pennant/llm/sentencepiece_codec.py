@@ -105,13 +105,14 @@ class Codec:
         self._merge_trees()
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"allowed": {}, "words": {}, "back": {}, "held": 0}
+        return self.__dict__ | {"allowed": {}, "words": {}, "back": {}, "held": 0, "odd_here": False}
 
     def _forget(self) -> None:
         """The memory of a task: ids and decoded bytes of words, and which pieces may stand side by side."""
         self.allowed: dict[tuple[str, str], bool] = {}
         self.words: dict[str, bytes] = {}
-        self.back: dict[str, bytes] = {}
+        self.back: dict[str, bytes] = {}  # of words that do not come back as themselves
+        self.odd_here = False  # whether the last texts held any of those
         self.held = 0
 
     def _merge_trees(self) -> None:
@@ -229,7 +230,9 @@ class Codec:
                 i -= len(last[i])
             found = self._ids(path[::-1])
             self.words[word] = struct.pack(f"<{len(found)}i", *found)
-            self.back[word] = b"".join([text[k] for k in found])
+            decoded = b"".join([text[k] for k in found])
+            if decoded != _spaced(word):
+                self.back[word] = decoded
             self.held += _cost(word)
             before = word
 
@@ -246,10 +249,21 @@ class Codec:
         return [b"".join(map(self.words.__getitem__, s)) for s in split]
 
     def both_ways(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
-        """(ids, the bytes they decode to) per text. Decoding joins what pieces stand for, so a word is decoded once."""
+        """(ids, the bytes they decode to) per text.
+
+        Decoding joins what pieces stand for, so a word is decoded once, when it is learned. Where every word of these texts
+        came back as itself, and marks are the texts' spaces and nothing else, the whole text did.
+        """
         split = self._learned(texts)
-        ids, back = self.words.__getitem__, self.back.__getitem__
-        return [(b"".join(map(ids, s)), self._unmarked(b"".join(map(back, s)))) for s in split]
+        ids, back, plain = self.words.__getitem__, self.back.get, not (self.squeeze or self.odd_here)
+        out = []
+        for s, text in zip(split, texts):
+            if plain and MARK not in (text or ""):
+                found = (text or "").encode()
+            else:
+                found = self._unmarked(b"".join([_spaced(w) if (b := back(w)) is None else b for w in s]))
+            out.append((b"".join(map(ids, s)), found))
+        return out
 
     def _learned(self, texts: list[str | None]) -> list[list[str]]:
         split = [self.marked(t or "") for t in texts]
@@ -259,9 +273,11 @@ class Codec:
         new = here.difference(self.words)
         if self.held > CACHE_BYTES:  # what is met again stays
             again = here - new
-            self.words, self.back = ({w: known[w] for w in again} for known in (self.words, self.back))
+            self.words = {w: self.words[w] for w in again}
+            self.back = {w: b for w, b in self.back.items() if w in again}
             self.held = sum(map(_cost, again))
         self.learn(new)
+        self.odd_here = not here.isdisjoint(self.back)
         return split
 
     def _unmarked(self, out: bytes) -> bytes:
@@ -275,7 +291,11 @@ class Codec:
 
 def _cost(word: str) -> int:
     """Bytes that a remembered word takes, roughly."""
-    return 300 + 4 * len(word)
+    return 220 + 4 * len(word)
+
+
+def _spaced(word: str) -> bytes:
+    return word.replace(MARK, " ").encode()
 
 
 def load(path: str) -> Codec:
