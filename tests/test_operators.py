@@ -1,3 +1,5 @@
+import random
+from collections import defaultdict
 from decimal import Decimal
 
 import pytest
@@ -231,3 +233,29 @@ def test_categories(make_lines):
     top = tuples(leaders.average_measure(lines, 2, 1), "entity", "categories")
     assert top == [("d", "C")]
     assert tuples(leaders.measure_leaders(lines, 1, level="line"), "entity", "measure") == [("e", 50.0)]
+
+
+def test_average_retention_counts_the_best_of_renamed_and_own_codes(make_lines):
+    """Against a plain count, with an alias beside the own code, groups without a name, and more members than are kept."""
+    rng = random.Random(21)
+    codes = ["MON", "WSN", "BOS", None]
+    rows = [(f"e{rng.randint(0, 40)}", "n", rng.randint(2000, 2008), rng.choice(codes), rng.randint(0, 1), rng.randint(-9, 30)) for _ in range(1500)]
+    k, gap, lo, hi, aliases = 3, 2, 2001, 2007, {"MON": "WSN"}
+    season, first, member, own, seen = defaultdict(int), {}, set(), set(), defaultdict(int)
+    for e, _, period, code, source, measure in rows:
+        seen[source] += 1
+        season[e, period] += measure
+        first[e] = min(first.get(e, (2, 0)), (source, seen[source]))
+        member.add((e, period, aliases.get(code, code)))
+        own.add((code, period))
+    wanted = {}
+    for g in {g for _, _, g in member}:
+        mine = [p for c, p in own if c == g and (c not in aliases)]
+        kept = []
+        for p in range(lo, hi - gap + 1):
+            best = sorted((e for e, q, h in member if (q, h) == (p, g)), key=lambda e: (-season[e, p], first[e]))[:k]
+            kept += [sum((e, p + gap, g) in member for e in best)] if best else []
+        if g is not None and mine and min(mine) <= lo and max(mine) >= hi and kept:
+            wanted[g] = sum(kept) / len(kept)
+    got = dict(tuples(cohorts.average_retention(make_lines(rows), k, gap, lo, hi, aliases=aliases), "grp", "average_retained"))
+    assert wanted and set(got) == set(wanted) and all(abs(got[g] - wanted[g]) < 1e-9 for g in wanted)

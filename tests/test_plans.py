@@ -146,3 +146,9 @@ def test_hot_season_is_split_at_run_time(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan
+
+
+def test_an_entity_s_memberships_are_sorted_once(spark):
+    """A task of that step holds its rows in one sort by entity and in that of the trimming, and each row once."""
+    plan = QUERIES["t21_average_retention"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Sort \[entity", plan)) == 1 and "Generate" not in plan
