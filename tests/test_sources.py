@@ -188,3 +188,21 @@ def test_bucketed_table_skips_row_groups_and_reopens(spark, tmp_path):
     assert meta.num_row_groups > 3
     write_bucketed(rows.limit(10), path, "entity", buckets=3)
     assert read_bucketed(spark, path).count() == 10
+
+
+def test_numbered_text_lines_are_not_moved(spark, tmp_path):
+    """The splits go to the lines, however small a broadcast Spark would choose by itself."""
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_text("v\n" + "".join(f"{name}{i}\n" for i in range(50)))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        df = read_csv(spark, str(tmp_path), "v string", line_no="n")
+        rows = df.orderBy("n").collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert [r.v for r in rows] == [f"{name}{i}" for name in "ab" for i in range(50)]
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
