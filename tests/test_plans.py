@@ -152,3 +152,23 @@ def test_an_entity_s_memberships_are_sorted_once(spark):
     """A task of that step holds its rows in one sort by entity and in that of the trimming, and each row once."""
     plan = QUERIES["t21_average_retention"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Sort \[entity", plan)) == 1 and "Generate" not in plan
+
+
+def test_order_lines_of_an_enrichment_are_joined_once(spark, monkeypatch):
+    from checks import tables
+
+    made, star = [], tables.star
+    monkeypatch.setattr(tables, "star", lambda *a: made.append(a) or star(*a))
+    for name in ("j2_awards_list", "j8_enrich_a", "j9_enrich_b"):
+        made.clear()
+        QUERIES[name](spark, SF)
+        assert len(made) == 1
+
+
+def test_sides_of_an_enrichment_are_sorted_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(enrich, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut_lineage(df))
+    lines = spark.createDataFrame([("a", 2000, 1, "AL", 10, 1)], "player_ID string, year_ID int, stint_ID int, lg_ID string, G int, line_no long")
+    lists = spark.createDataFrame([("A", 2000, "MVP"), ("a", 2000, "ROY"), ("b", 2000, "MVP")], "entity string, period int, awards string")
+    assert [r.awards for r in enrich.attach_awards(lines, lists).collect()] == ["ROY"]
+    assert len(re.findall(r"Sort \[_side_key", plans[0])) == 1
