@@ -6,6 +6,8 @@ state of a position depends on the prefix alone, so a word goes on from where it
 For a unigram model an edge is any piece and the best sum of scores wins. For a BPE model an edge is allowed only
 if it is what merging leaves of the two pieces side by side; then exactly one path is left, the merge result (a
 sequence is the merge result if and only if all its neighbours are).
+
+The pieces that end at a position come from an automaton over the beginnings of pieces, which makes one step a character.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # piece types o
 UNIGRAM, BPE = 1, 2  # model types of the file format
 CACHE_BYTES = 80 << 20  # of words that a task remembers
 CACHE_EDGES = 1 << 18  # of piece pairs
+CACHE_STEPS = 1 << 18  # of the automaton
 UNKNOWN_PENALTY = 10.0
 
 
@@ -56,6 +59,49 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
         yield tag >> 3, value
 
 
+class _Follows(dict):
+    """For one piece: whether it may stand right of the piece that is asked for."""
+
+    __slots__ = ("codec", "piece")
+
+    def __init__(self, codec: Codec, piece: str) -> None:
+        self.codec, self.piece = codec, piece
+
+    def __missing__(self, before: str) -> bool:
+        known = self.codec._edge(before, self.piece)
+        if self.codec.edges >= CACHE_EDGES:
+            for x in self.codec.follows.values():
+                x.clear()
+            self.codec.edges = 0
+        self.codec.edges += 1
+        self[before] = known
+        return known
+
+
+class _State(dict):
+    """The longest end of what was read that begins a piece, with the pieces that end here; by the next character, the state after it."""
+
+    __slots__ = ("codec", "held", "ending")
+
+    def __init__(self, codec: Codec, held: str) -> None:
+        self.codec, self.held = codec, held
+        found = [held[-k:] for k in range(len(held), 1, -1) if held[-k:] in codec.ids]
+        if codec.kind == BPE:
+            self.ending = tuple((len(p), p, codec._follows(p)) for p in found)
+        else:
+            self.ending = tuple((len(p), p, codec.scores[codec.ids[p]]) for p in found)
+
+    def __missing__(self, c: str) -> _State:
+        codec, held = self.codec, self.held + c
+        while held and held not in codec.beginnings:
+            held = held[1:]
+        state = codec._state(held)
+        if codec.steps < CACHE_STEPS:
+            codec.steps += 1
+            self[c] = state
+        return state
+
+
 class Codec:
     """A model file's vocabulary, with encoding to and decoding from little-endian int32 bytes."""
 
@@ -92,35 +138,55 @@ class Codec:
         end = re.escape(MARK + alone)
         self.splitter = re.compile(f"{MARK}+[^{end}]*|[^{end}]+" + (f"|[{re.escape(alone)}]" if alone else ""))
         self.floor = min((self.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
-        self.sizes: dict[str, tuple[int, ...]] = {}  # of the pieces that end in two characters, the longest first
-        for p in self.ids:
-            if len(p) > 1:
-                self.sizes[p[-2:]] = (*self.sizes.get(p[-2:], ()), len(p))
-        self.sizes = {k: (*sorted(set(v), reverse=True), 1) for k, v in self.sizes.items()}
+        self.beginnings = {p[:k] for p in self.ids if len(p) > 1 for k in range(1, len(p) + 1)}
         self._forget()
         self.text = [b"" if t in (CONTROL, UNKNOWN, UNUSED) else p.replace(MARK, " ").encode() for p, t in zip(self.pieces, self.types)]
         self.text[self.unknown] = " ⁇ ".encode()
         for value, i in self.bytes.items():
             self.text[i] = bytes([value])
+        self.codes = {p: (struct.pack("<i", i), self.text[i]) for p, i in self.ids.items()}  # ids, and what they decode to
         self._merge_trees()
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"allowed": {}, "words": {}, "back": {}, "held": 0, "odd_here": False}
+        return {k: v for k, v in self.__dict__.items() if k not in ("follows", "edges", "states", "steps", "words", "back", "held", "odd_here")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self._forget()
 
     def _forget(self) -> None:
-        """The memory of a task: ids and decoded bytes of words, and which pieces may stand side by side."""
-        self.allowed: dict[tuple[str, str], bool] = {}
+        """The memory of a task: ids and decoded bytes of words, states, and which pieces may stand side by side."""
+        self.follows: dict[str, _Follows] = {}
+        self.edges = 0  # piece pairs in it
+        self._restart()
         self.words: dict[str, bytes] = {}
         self.back: dict[str, bytes] = {}  # of words that do not come back as themselves
         self.odd_here = False  # whether the last texts held any of those
         self.held = 0
 
+    def _restart(self) -> None:
+        self.states: dict[str, _State] = {}
+        self.steps = 0
+
+    def _state(self, held: str) -> _State:
+        found = self.states.get(held)
+        if found is None:
+            found = self.states[held] = _State(self, held)
+        return found
+
+    def _follows(self, piece: str) -> _Follows:
+        found = self.follows.get(piece)
+        if found is None:
+            found = self.follows[piece] = _Follows(self, piece)
+        return found
+
     def _merge_trees(self) -> None:
         """Which two pieces merging makes each piece of last, for pieces that it makes, from pieces of better score.
 
-        ``turn`` is the place of a piece's score in the order of scores.
+        ``turn`` is the place of a piece's score in the order of scores; ``made`` has it for pieces with trees only.
         """
         self.turn: dict[str, int] = {}
+        self.made: dict[str, int] = {}
         self.tree: dict[str, tuple[str, str]] = {}
         if self.kind != BPE:
             return
@@ -132,6 +198,7 @@ class Codec:
             ready = all(x in self.ids if len(x) == 1 else x in self.tree and self.turn[x] <= self.turn[p] for x in last)
             if len(last) == 2 and ready and self._merged(p) == [p]:
                 self.tree[p] = (last[0], last[1])
+                self.made[p] = self.turn[p]
 
     def _apart(self, left: str, right: str) -> bool:
         """Whether merging leaves two pieces side by side that have trees or are single characters.
@@ -139,15 +206,17 @@ class Codec:
         Their merges are undone from the last to the first. Whatever two pieces meet at the border in between must not be a
         piece that would be made before the merge that was undone there; of equal ones the left one is made first.
         """
-        turn, tree, limit = self.turn, self.tree, len(self.turn)
+        turn, tree, made, limit = self.turn.get, self.tree, self.made.get, len(self.turn)
+        a, b = made(left, -1), made(right, -1)
         while True:
-            if turn.get(left + right, limit) < limit:
+            if turn(left + right, limit) < limit:
                 return False
-            a, b = (turn[x] if x in tree else -1 for x in (left, right))
             if a > b:
                 limit, left = a, tree[left][1]
+                a = made(left, -1)
             elif b >= 0:
                 limit, right = b + 1, tree[right][0]
+                b = made(right, -1)
             else:
                 return True
 
@@ -166,17 +235,11 @@ class Codec:
         return parts
 
     def _edge(self, before: str, piece: str) -> bool:
-        key = (before, piece)
-        known = self.allowed.get(key)
-        if known is None:
-            if len(self.allowed) >= CACHE_EDGES:
-                self.allowed.clear()
-            if before and all(x in self.tree or len(x) == 1 and x in self.ids for x in key):
-                known = self._apart(before, piece)
-            else:
-                known = self._merged(before + piece) == ([before, piece] if before else [piece])
-            self.allowed[key] = known
-        return known
+        """Whether merging leaves the two pieces side by side; the first may be empty."""
+        tree, ids = self.tree, self.ids
+        if before and (piece in tree or len(piece) == 1 and piece in ids) and (before in tree or len(before) == 1 and before in ids):
+            return self._apart(before, piece)
+        return self._merged(before + piece) == ([before, piece] if before else [piece])
 
     def _ids(self, pieces: list[str]) -> list[int]:
         out = list(map(self.ids.get, pieces))
@@ -195,43 +258,53 @@ class Codec:
 
     def learn(self, words: Iterable[str]) -> None:
         """Forward scores of distinct words, in sorted order, kept along the common prefix of each two."""
+        if self.steps >= CACHE_STEPS:
+            self._restart()
         last: list[str] = [""]  # the piece that ends at each position
         score: list[float] = [0.0]
-        before, one = "", (1,)
-        bpe, ids, sizes, text, allowed = self.kind == BPE, self.ids, self.sizes, self.text, self.allowed
+        start, bpe, ids, scores, floor, codes, text = self._state(""), self.kind == BPE, self.ids, self.scores, self.floor, self.codes, self.text
+        before = ""
         for word in sorted(words):
-            shared, n = 0, min(len(before), len(word))
-            while shared < n and before[shared] == word[shared]:
+            shared, state = 0, start
+            for c, d in zip(before, word):
+                if c != d:
+                    break
+                state = state[c]
                 shared += 1
             del last[shared + 1 :], score[shared + 1 :]
-            for i in range(shared + 1, len(word) + 1):
-                best, piece = None, word[i - 1]
-                for size in sizes.get(word[i - 2 : i], one) if i > 1 else one:
-                    if size > i:
-                        continue
-                    cut = word[i - size : i]
-                    if size > 1 and cut not in ids:
-                        continue
-                    if bpe:  # one path is left: a piece that may follow the piece before it
-                        edge = (last[i - size], cut)
-                        known = allowed.get(edge)
-                        if self._edge(*edge) if known is None else known:
-                            piece = cut
+            if bpe:  # one path is left: a piece that may follow the piece before it
+                for c in word[shared:]:
+                    state = state[c]
+                    for size, piece, follows in state.ending:
+                        if follows[last[-size]]:
                             break
-                        continue
-                    total = score[i - size] + (self.floor if cut not in ids else self.scores[ids[cut]])
-                    if best is None or total > best:
-                        best, piece = total, cut
-                last.append(piece)
-                score.append(best or 0.0)
+                    else:
+                        piece = c
+                    last.append(piece)
+            else:
+                for c in word[shared:]:
+                    state = state[c]
+                    best, piece = score[-1] + (floor if c not in ids else scores[ids[c]]), c
+                    for size, longer, own in state.ending[::-1]:
+                        if score[-size] + own >= best:
+                            best, piece = score[-size] + own, longer
+                    last.append(piece)
+                    score.append(best)
             path, i = [], len(word)
             while i:
-                path.append(last[i])
-                i -= len(last[i])
-            found = self._ids(path[::-1])
-            self.words[word] = struct.pack(f"<{len(found)}i", *found)
-            decoded = b"".join([text[k] for k in found])
-            if decoded != _spaced(word):
+                piece = last[i]
+                path.append(piece)
+                i -= len(piece)
+            path.reverse()
+            try:
+                known = [codes[p] for p in path]
+                self.words[word] = b"".join([code for code, _ in known])
+                decoded = b"".join([back for _, back in known])
+            except KeyError:
+                found = self._ids(path)
+                self.words[word] = struct.pack(f"<{len(found)}i", *found)
+                decoded = b"".join([text[k] for k in found])
+            if decoded != word.replace(MARK, " ").encode():
                 self.back[word] = decoded
             self.held += _cost(word)
             before = word

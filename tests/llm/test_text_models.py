@@ -74,6 +74,20 @@ def test_encoding_survives_when_its_memory_is_full(sf_texts, monkeypatch):
     assert small.held < 2_000_000  # a batch of its own at most
 
 
+def test_only_pieces_that_end_at_a_position_are_tried(codec, sf_texts, monkeypatch):
+    for word in {w for t in [*sf_texts[:40], *TRICKY] for w in codec.marked(t)}:
+        state = codec._state("")
+        for i, c in enumerate(word, 1):
+            state = state[c]
+            assert [p for _, p, _ in state.ending] == [word[i - k : i] for k in range(min(i, 40), 1, -1) if word[i - k : i] in codec.ids]
+    monkeypatch.setattr(sp, "CACHE_STEPS", 20)
+    monkeypatch.setattr(sp, "CACHE_EDGES", 50)
+    small = sp.load(SENTENCEPIECE_MODEL)
+    assert small.encode(sf_texts[:30]) == codec.encode(sf_texts[:30])
+    assert small.steps <= 20 and sum(map(len, small.states.values())) <= 20 and sum(map(len, small.follows.values())) <= 50
+    assert max(map(len, codec.ids)) <= 40
+
+
 def test_unigram_takes_the_best_sum_of_scores():
     rng = random.Random(1)
     one = sp.Codec.__new__(sp.Codec)
