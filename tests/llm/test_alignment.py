@@ -5,13 +5,15 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from pennant.llm.common import ship_code
+from pennant.llm.common import Space, ship_code
 from pennant.llm.queries import BYTE_LEVEL_FILE, SENTENCEPIECE_MODEL, op12_token_alignment
-from pennant.llm.token_alignment import Aligner, align, compose, fragment, ranges, visible_bytes
+from pennant.llm.token_alignment import BLOCK_SCHEMA, GROUP, SLICE, Aligner, _arrow, _short, align, compose, fragment, ranges, visible_bytes
 
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 A_FILE, B_FILE = open(BYTE_LEVEL_FILE, "rb").read(), open(SENTENCEPIECE_MODEL, "rb").read()
@@ -130,6 +132,47 @@ def test_encoders_agree_on_every_character(libraries):
             assert model.encode(text).tolist() == libraries[0].encode(text, add_special_tokens=False).ids
 
 
+def many_words(libraries, seed, size):
+    rng, b = random.Random(seed), libraries[1]
+    parts = [p for i in range(b.get_piece_size()) if not b.is_byte(i) and (p := b.id_to_piece(i).strip("▁")).isalpha()]
+    return [" ".join("".join(rng.choices(parts, k=2)) for _ in range(200)) for _ in range(size)]
+
+
+class Sent:
+    value = A_FILE, B_FILE
+
+
+def test_rows_of_a_block_are_small_and_make_it_up(spark, libraries):
+    found, schema = many_words(libraries, 1, 1300), _arrow(spark, BLOCK_SCHEMA)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [*range(len(found)), None], "text": [*found, None]})
+    out = list(_short(Sent, schema)([batch]))
+    assert sum(map(len, found)) > 2 << 20 and max(b.nbytes for b in out) < 1 << 20
+    rows = [r for b in out for r in b.to_pylist()]
+    assert [i for r in rows for i in r["ids"]] == [*range(len(found)), None]
+    assert len({r["block"] for r in rows}) == 1  # under BLOCK bytes
+    pairs, times = ([x for r in rows for x in r[c]] for c in ("pairs", "times"))
+    assert [r["base"] for r in rows] == [min(i * SLICE, len(pairs)) for i in range(len(rows))]
+    assert len(pairs) > 2 * SLICE and pairs == sorted(set(pairs))
+    links = np.concatenate([np.frombuffer(r["links"], "<u4") for r in rows])
+    assert [len(r["links"]) // 4 for r in rows] == [sum(r["n_links"]) for r in rows]
+    assert np.bincount(links, minlength=len(pairs)).tolist() == times
+
+
+def test_many_pairs_in_a_block_match_brute_force(spark, libraries):
+    rows = list(enumerate(many_words(libraries, 2, 700)))
+    assert Counter(tuple(r) for r in align(frame(spark, rows), A_FILE, B_FILE).coalesce(1).collect()) == brute(libraries, rows)
+
+
+def test_large_rows_are_written_in_small_groups(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    spark.createDataFrame([(rng.bytes(1 << 20),) for _ in range(60)], "x binary").coalesce(1).write.parquet(f"{tmp_path}/in")
+    with Space(spark) as space:
+        written = space.write(spark.read.parquet(f"{tmp_path}/in").coalesce(1), "rows", group=GROUP)
+        for name in written.inputFiles():
+            file = pq.ParquetFile(name.removeprefix("file://")).metadata
+            assert all(file.row_group(i).total_byte_size <= 2 * GROUP for i in range(file.num_row_groups))
+
+
 def test_empty_table(spark):
     assert align(frame(spark, []), A_FILE, B_FILE).count() == 0
 
